@@ -48,10 +48,10 @@ BATCH_SIZE = 25
 # --- AsciiDoc --------------------------------------------------------------
 ATTRIBUTE_LINE = rf"^:([A-Za-z][{WORD}-]*?):[{SPACE_IN_LINE}]*(.*?)[{SPACE_IN_LINE}]*$"
 ATTRIBUTE_ACROSS_LINES = rf"^:([A-Za-z][{WORD}-]*?):[{SPACE}]*(.*?)[{SPACE}]*$"
-INCLUDE_LINE = r"^include::.*$"
+INCLUDE_START = "include::"
 BLOCK_ID_LINE = rf'^\[id="[^"]*".*\][{SPACE}]*$'
-CONDITIONAL_LINE = r"^(?:ifdef|ifndef|endif)::.*$"
-DEFINITION_LINE = rf"^:[{WORD}-]+:.*$"
+CONDITIONAL_STARTS = ("ifdef::", "ifndef::", "endif::")
+DEFINITION_START = rf"^:[{WORD}-]+:"
 # Attributes every document starts with; a document's own definition wins.
 DEFAULT_ATTRIBUTES = (
     ("product-title", "OpenShift Container Platform"),

@@ -6,17 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docloom import fixed_values as fv
-from docloom.functions.text import drop_attribute_references, line_mode
+from docloom.functions.text import bind, drop_attribute_references, line_mode, map_lines
 
 
 # --- attributes ------------------------------------------------------------
 
 
-def _definitions(text: Column, group: int, across_lines: bool) -> Column:
-    pattern = fv.ATTRIBUTE_ACROSS_LINES if across_lines else fv.ATTRIBUTE_LINE
-    return F.regexp_extract_all(text, F.lit(line_mode(pattern)), F.lit(group))
-
-
 def attribute_entries(
     text: Column,
     defaults: tuple[tuple[str, str], ...] = fv.DEFAULT_ATTRIBUTES,
@@ -28,59 +23,89 @@ def attribute_entries(
     one; defaults come first.  ``across_lines`` lets a definition without a
     value take the next non-empty line as its value.
     """
-    default_names = F.array(*[F.lit(name) for name, _ in defaults]).cast("array<string>")
-    default_values = F.array(*[F.lit(value) for _, value in defaults]).cast("array<string>")
-    names = F.concat(default_names, _definitions(text, 1, across_lines))
-    values = F.concat(default_values, _definitions(text, 2, across_lines))
-    # Reversed, the last definition is the first one found.
-    newest = F.struct(F.reverse(names).alias("names"), F.reverse(values).alias("values"))
-    return F.transform(
-        F.array_distinct(names),
-        lambda name: F.struct(
-            name.alias("name"),
-            F.element_at(newest["values"], F.array_position(newest["names"], name).cast("int")).alias("value"),
+    pattern = line_mode(fv.ATTRIBUTE_ACROSS_LINES if across_lines else fv.ATTRIBUTE_LINE)
+    given = F.array(
+        *[F.struct(F.lit(name).alias("name"), F.lit(value).alias("value")) for name, value in defaults]
+    ).cast("array<struct<name:string,value:string>>")
+    own = F.transform(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+        lambda line: F.struct(
+            F.regexp_extract(line, pattern, 1).alias("name"), F.regexp_extract(line, pattern, 2).alias("value")
         ),
     )
 
+    def newest(all_entries: Column) -> Column:
+        names = F.transform(all_entries, lambda entry: entry["name"])
+        last_first = F.reverse(all_entries)
+        return F.transform(
+            F.array_distinct(names),
+            lambda name: F.filter(last_first, lambda entry: entry["name"] == name)[0],
+        )
 
-def substitute_attributes(text: Column, entries: Column) -> Column:
+    return bind(F.concat(given, own), newest)
+
+
+def substitute_line(line: Column, entries: Column) -> Column:
     """Replace ``{name}`` entry by entry, one pass: a reference inside a
     value is resolved only by an entry that comes later."""
     return F.aggregate(
         entries,
-        text,
+        line,
         lambda done, entry: F.replace(done, F.concat(F.lit("{"), entry["name"], F.lit("}")), entry["value"]),
     )
 
 
+def substitute_attributes(text: Column, entries: Column) -> Column:
+    """The same for a text.  Neither names nor values hold a line feed, so
+    lines are independent of each other."""
+    return bind(entries, lambda known: map_lines(text, lambda line: substitute_line(line, known)))
+
+
 # --- directives ------------------------------------------------------------
+#
+# All but one work on single lines.  Looking at the start of a line is far
+# cheaper than trying a pattern at every character of the text.
+
 
+def _blank_include(line: Column) -> Column:
+    return F.when(F.startswith(line, F.lit(fv.INCLUDE_START)), "").otherwise(line)
 
-def blank_include_lines(text: Column) -> Column:
-    return F.regexp_replace(text, line_mode(fv.INCLUDE_LINE), "")
+
+def _blank_directive(line: Column) -> Column:
+    conditional = F.lit(False)
+    for start in fv.CONDITIONAL_STARTS:
+        conditional = conditional | F.startswith(line, F.lit(start))
+    definition = F.startswith(line, F.lit(":")) & line.rlike(fv.DEFINITION_START)
+    return F.when(conditional | definition, "").otherwise(line)
 
 
 def drop_block_ids(text: Column) -> Column:
     """Blank lines behind the block id go with it."""
-    return F.regexp_replace(text, line_mode(fv.BLOCK_ID_LINE), "")
+    dropped = F.regexp_replace(text, line_mode(fv.BLOCK_ID_LINE), "")
+    return F.when(F.contains(text, F.lit('[id="')), dropped).otherwise(text)
 
 
-def blank_conditional_lines(text: Column) -> Column:
-    """Only the directive lines; what they enclose always stays."""
-    return F.regexp_replace(text, line_mode(fv.CONDITIONAL_LINE), "")
+def clean_asciidoc(text: Column, entries: Column | None = None) -> Column:
+    """Attributes resolved, ``include`` lines blanked, block ids removed,
+    conditional and definition lines blanked, in this order.  What a
+    conditional encloses always stays.
 
+    ``entries`` replaces the attributes read from the text, e.g. when a
+    shared table adds some.
+    """
 
-def blank_definition_lines(text: Column) -> Column:
-    return F.regexp_replace(text, line_mode(fv.DEFINITION_LINE), "")
+    def resolved(known: Column) -> Column:
+        def line_done(line: Column) -> Column:
+            without = drop_attribute_references(substitute_line(line, known))
+            return F.when(F.contains(line, F.lit("{")), bind(without, _blank_include)).otherwise(_blank_include(line))
 
+        return map_lines(text, line_done)
 
-def clean_asciidoc(text: Column, entries: Column | None = None) -> Column:
-    """Attributes resolved, directives gone.  ``entries`` replaces the
-    attributes read from the text, e.g. when a shared table adds some."""
-    entries = attribute_entries(text) if entries is None else entries
-    resolved = F.when(F.contains(text, F.lit("{")), drop_attribute_references(substitute_attributes(text, entries)))
-    resolved = resolved.otherwise(text)
-    return blank_definition_lines(blank_conditional_lines(drop_block_ids(blank_include_lines(resolved))))
+    own = attribute_entries(text) if entries is None else entries
+    resolved_text = F.when(F.contains(text, F.lit("{")), bind(own, resolved)).otherwise(
+        map_lines(text, _blank_include)
+    )
+    return map_lines(bind(resolved_text, drop_block_ids), _blank_directive)
 
 
 # --- markup ----------------------------------------------------------------
@@ -94,23 +119,51 @@ _URL = r"(?<![\w:])(https?://[^\s\[\]<>]+)\[([^\]\n]+)\]"
 _BARE_URL = r"(?<![\w:])(https?://[^\s\[\]<>]+)\[\]"
 
 
-def _run_of(mark: str, most: int, least: int = 1, before: str = "") -> str:
-    """Matches the marks of a line-leading run one by one.  ``\\G`` continues
-    where the last match ended, so only a run that passed the check at the
-    line start is touched."""
-    return line_mode(rf"(?:^(?={mark}{{{least},{most}}} )|(?!^)\G){mark}{before}")
+def _leading(line: Column, mark: str, most: int) -> Column:
+    """Length of the run of ``mark`` in front of a blank, else 0."""
+    return F.length(F.regexp_extract(line, rf"^({mark}{{1,{most}}}) ", 1))
+
+
+def _list_item(line: Column, mark: str, indent: str, bullet: str) -> Column:
+    text = F.regexp_replace(line, rf"^{mark}+ +", "")
+    return bind(
+        _leading(line, mark, 5),
+        lambda level: F.when(level == 0, line).otherwise(
+            F.concat(F.repeat(F.lit(indent), level - 1), F.lit(bullet), text)
+        ),
+    )
+
+
+def _title(line: Column) -> Column:
+    return bind(
+        _leading(line, "=", 6),
+        lambda level: F.concat(F.repeat(F.lit("#"), level), F.substr(line, level + 1)),
+    )
+
+
+def _links(line: Column) -> Column:
+    line = F.regexp_replace(line, _LINK, "[$2]($1)")
+    line = F.regexp_replace(line, _BARE_LINK, "<$1>")
+    line = F.regexp_replace(line, _URL, "[$2]($1)")
+    return F.regexp_replace(line, _BARE_URL, "<$1>")
+
+
+def _prose_line(line: Column) -> Column:
+    def starts(mark: str) -> Column:
+        return F.startswith(line, F.lit(mark))
+
+    marked = (
+        F.when(starts("="), _title(line))
+        .when(starts("*"), _list_item(line, r"\*", "  ", "- "))
+        .when(starts("."), _list_item(line, r"\.", "   ", "1. "))
+        .otherwise(line)
+    )
+    linked = F.contains(line, F.lit("link:")) | F.contains(line, F.lit("://"))
+    return F.when(linked, _links(marked)).otherwise(marked)
 
 
 def _prose_to_markdown(text: Column) -> Column:
-    text = F.regexp_replace(text, _run_of("=", 6), "#")
-    text = F.regexp_replace(text, _run_of(r"\*", 5, 2, r"(?=\*)"), "  ")
-    text = F.regexp_replace(text, line_mode(r"^( *)\* +"), "$1- ")
-    text = F.regexp_replace(text, _run_of(r"\.", 5, 2, r"(?=\.)"), "   ")
-    text = F.regexp_replace(text, line_mode(r"^( *)\. +"), "$11. ")
-    text = F.regexp_replace(text, _LINK, "[$2]($1)")
-    text = F.regexp_replace(text, _BARE_LINK, "<$1>")
-    text = F.regexp_replace(text, _URL, "[$2]($1)")
-    return F.regexp_replace(text, _BARE_URL, "<$1>")
+    return map_lines(text, _prose_line)
 
 
 def _listing_to_fence(body: Column) -> Column:
@@ -128,13 +181,17 @@ def asciidoc_to_markdown(text: Column) -> Column:
     other markup is passed through.  Listings are left verbatim; one that is
     never closed reaches to the end of the document.
     """
-    marked = F.when(
-        F.contains(text, F.lit("[source,")),
-        F.regexp_replace(text, _SOURCE_BEFORE_LISTING, f"$2\n{_LANGUAGE_MARK}$1"),
-    ).otherwise(text)
-    parts = F.split(marked, _LISTING)
-    converted = F.transform(
-        parts,
-        lambda part, i: F.when(i % 2 == 0, _prose_to_markdown(part)).otherwise(_listing_to_fence(part)),
-    )
-    return F.array_join(converted, "")
+    def listings(body: Column) -> Column:
+        parts = F.split(F.regexp_replace(body, _SOURCE_BEFORE_LISTING, f"$2\n{_LANGUAGE_MARK}$1"), _LISTING)
+        return F.array_join(
+            F.transform(
+                parts,
+                lambda part, i: F.when(i % 2 == 0, _prose_to_markdown(part)).otherwise(_listing_to_fence(part)),
+            ),
+            "",
+        )
+
+    def document(body: Column) -> Column:
+        return F.when(F.contains(body, F.lit("----")), listings(body)).otherwise(_prose_to_markdown(body))
+
+    return bind(text, document)

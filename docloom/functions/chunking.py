@@ -20,16 +20,18 @@ def sections(markdown: Column) -> Column:
     return F.filter(parts, lambda part: ~is_blank(part))
 
 
-def _no_text() -> Column:
-    return F.array().cast("array<string>")
+def _measured(parts: Column) -> Column:
+    """Each part with its length, which is then counted only once."""
+    return F.transform(parts, lambda part: F.struct(part.alias("text"), F.length(part).alias("n")))
 
 
-def _start() -> Column:
-    return F.struct(F.lit("").alias("open"), _no_text().alias("done"))
+def _state(open_text: Column, open_length: Column, done: Column) -> Column:
+    """The piece still being filled, its length, and the finished ones."""
+    return F.struct(open_text.alias("open"), open_length.alias("n"), done.alias("done"))
 
 
-def _state(open_text: Column, done: Column) -> Column:
-    return F.struct(open_text.alias("open"), done.alias("done"))
+def _start() -> Column:
+    return _state(F.lit(""), F.lit(0), F.array().cast("array<string>"))
 
 
 def _close(state: Column) -> Column:
@@ -38,8 +40,7 @@ def _close(state: Column) -> Column:
 
 def slices(text: Column, width: int) -> Column:
     """Consecutive pieces of exactly ``width``, the last one shorter."""
-    starts = F.sequence(F.lit(1), F.length(text), F.lit(width))
-    return F.transform(starts, lambda start: F.substr(text, start, F.lit(width)))
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{width}}}"), F.lit(0))
 
 
 def split_oversized(section: Column, max_chars: int) -> Column:
@@ -50,18 +51,17 @@ def split_oversized(section: Column, max_chars: int) -> Column:
     """
 
     def add(state: Column, paragraph: Column) -> Column:
-        fits = F.length(state["open"]) + F.length(paragraph) + 2 < max_chars
-        joined = F.when(state["open"] == "", paragraph).otherwise(
-            F.concat(state["open"], F.lit("\n\n"), paragraph)
-        )
-        too_long = F.length(paragraph) >= max_chars
+        text, n = paragraph["text"], paragraph["n"]
+        nothing_open = state["open"] == ""
+        joined = F.when(nothing_open, text).otherwise(F.concat(state["open"], F.lit("\n\n"), text))
+        joined_length = F.when(nothing_open, n).otherwise(state["n"] + n + 2)
         return (
-            F.when(fits, _state(joined, state["done"]))
-            .when(too_long, _state(F.lit(""), F.concat(_close(state), slices(paragraph, max_chars))))
-            .otherwise(_state(paragraph, _close(state)))
+            F.when(state["n"] + n + 2 < max_chars, _state(joined, joined_length, state["done"]))
+            .when(n >= max_chars, _state(F.lit(""), F.lit(0), F.concat(_close(state), slices(text, max_chars))))
+            .otherwise(_state(text, n, _close(state)))
         )
 
-    return F.aggregate(F.split(section, fv.PARAGRAPH_BREAK), _start(), add, _close)
+    return F.aggregate(_measured(F.split(section, fv.PARAGRAPH_BREAK)), _start(), add, _close)
 
 
 def pack(parts: Column, max_chars: int) -> Column:
@@ -69,15 +69,15 @@ def pack(parts: Column, max_chars: int) -> Column:
     before it and leaves nothing open behind it."""
 
     def add(state: Column, section: Column) -> Column:
-        fits = F.length(state["open"]) + F.length(section) < max_chars
-        too_long = F.length(section) >= max_chars
+        text, n = section["text"], section["n"]
+        pieces = F.concat(_close(state), split_oversized(text, max_chars))
         return (
-            F.when(fits, _state(F.concat(state["open"], section), state["done"]))
-            .when(too_long, _state(F.lit(""), F.concat(_close(state), split_oversized(section, max_chars))))
-            .otherwise(_state(section, _close(state)))
+            F.when(state["n"] + n < max_chars, _state(F.concat(state["open"], text), state["n"] + n, state["done"]))
+            .when(n >= max_chars, _state(F.lit(""), F.lit(0), pieces))
+            .otherwise(_state(text, n, _close(state)))
         )
 
-    return F.aggregate(parts, _start(), add, _close)
+    return F.aggregate(_measured(parts), _start(), add, _close)
 
 
 def chunk_array(markdown: Column, max_chars: int = fv.MAX_CHUNK_CHARS) -> Column:

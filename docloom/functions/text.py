@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,18 @@ def feed_mode(pattern: str) -> str:
     return "(?d)" + pattern
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Compute ``value`` once where ``use`` needs it more than once.
+
+    An array of one element, transformed, is how an expression names a value.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
+def map_lines(text: Column, change: Callable[[Column], Column]) -> Column:
+    return F.array_join(F.transform(F.split(text, "\n"), change), "\n")
+
+
 def strip(text: Column) -> Column:
     """Trim white space of any kind, not only blanks, at both ends."""
     return F.trim(text, F.lit(fv.SPACE_CHARS))

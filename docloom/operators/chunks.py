@@ -26,7 +26,10 @@ def chunk_documents(
     kept = [name for name in docs.columns if name != text]
     cleaned = docs.select(*kept, clean_technical(F.col(text), strict).alias("_clean"))
     chunks = cleaned.select(*kept, chunk_array(F.col("_clean"), max_chars).alias("_chunks"))
-    return chunks.select(*kept, F.posexplode("_chunks").alias("pos", "chunk"))
+    # For a plain explode the optimizer adds a filter on the array's size and
+    # pushes it down, which computes the whole array once more.
+    exploded = chunks.select(*kept, F.posexplode_outer("_chunks").alias("pos", "chunk"))
+    return exploded.where(F.col("pos").isNotNull())
 
 
 def chunks_per_document(docs: DataFrame, text: str = "md", max_chars: int = fv.MAX_CHUNK_CHARS) -> DataFrame:

@@ -118,7 +118,8 @@ def _adoc_cleaned(source: str) -> str:
     text = "s.done"
     for pattern in (fv.ATTRIBUTE_REFERENCE,):
         text = _drop(text, pattern)
-    for pattern in (fv.INCLUDE_LINE, fv.BLOCK_ID_LINE, fv.CONDITIONAL_LINE, fv.DEFINITION_LINE):
+    directives = "^(?:" + "|".join(fv.CONDITIONAL_STARTS) + ").*$"
+    for pattern in (f"^{fv.INCLUDE_START}.*$", fv.BLOCK_ID_LINE, directives, f"{fv.DEFINITION_START}.*$"):
         text = _drop(text, _lines(pattern))
     return f"""{_attributes(source)},
 attribute_lists AS (SELECT doc_id, list({{'name': name, 'value': value}} ORDER BY ord) AS l FROM attributes GROUP BY doc_id),

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.sources.tables import read_parquet
+
 MD_COLUMNS = (
     "doc_id",
     "source",
@@ -66,19 +68,19 @@ QA_CASES = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
-def documents_view(spark: SparkSession, sf_dir: str, columns: tuple[str, ...]) -> DataFrame:
-    return table(spark, sf_dir, "documents").selectExpr(*columns)
+def documents_view(spark: SparkSession, sf_dir: str, columns: tuple[str, ...], spread: bool = False) -> DataFrame:
+    return read_parquet(spark, f"{sf_dir}/documents.parquet", spread).selectExpr(*columns)
 
 
 def md_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents_view(spark, sf_dir, MD_COLUMNS)
+    return documents_view(spark, sf_dir, MD_COLUMNS, spread=True)
 
 
 def adoc_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents_view(spark, sf_dir, ADOC_COLUMNS)
+    return documents_view(spark, sf_dir, ADOC_COLUMNS, spread=True)
 
 
 def adoc_markup(spark: SparkSession, sf_dir: str) -> DataFrame:

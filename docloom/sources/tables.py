@@ -13,6 +13,18 @@ from docloom.functions.messages import MESSAGES_TYPE, base_model
 from docloom.functions.text import null_if_missing
 
 
+def read_parquet(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
+    """A Parquet table.  ``spread`` is for costly work per row on input that
+    may be a few files with few row groups, which are not divisible: the rows
+    are then dealt out to all cores.  A scan that already has several tasks
+    per core, as any large one, is left alone."""
+    table = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if spread and table.rdd.getNumPartitions() < 4 * cores:
+        return table.repartition(2 * cores)
+    return table
+
+
 def read_qa_csv(
     spark: SparkSession,
     path: str | list[str],
