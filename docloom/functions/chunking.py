@@ -7,11 +7,13 @@ independent of each other, so no shuffle is involved.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docloom import fixed_values as fv
-from docloom.functions.text import is_blank, line_mode, strip
+from docloom.functions.text import bind, is_blank, line_mode, strip
 
 
 def sections(markdown: Column) -> Column:
@@ -20,11 +22,6 @@ def sections(markdown: Column) -> Column:
     return F.filter(parts, lambda part: ~is_blank(part))
 
 
-def _measured(parts: Column) -> Column:
-    """Each part with its length, which is then counted only once."""
-    return F.transform(parts, lambda part: F.struct(part.alias("text"), F.length(part).alias("n")))
-
-
 def _state(open_text: Column, open_length: Column, done: Column) -> Column:
     """The piece still being filled, its length, and the finished ones."""
     return F.struct(open_text.alias("open"), open_length.alias("n"), done.alias("done"))
@@ -34,6 +31,30 @@ def _start() -> Column:
     return _state(F.lit(""), F.lit(0), F.array().cast("array<string>"))
 
 
+def _fold(parts: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """Fold over the parts and close the last open piece.
+
+    A fold copies its whole state at every step.  So that a document of very
+    many parts costs little more than its length, blocks of parts are folded
+    into their own list first: with blocks of the square root of the number
+    of parts, neither the lists nor the number of blocks get long.
+    """
+    measured = F.transform(parts, lambda part: F.struct(part.alias("text"), F.length(part).alias("n")))
+
+    def in_blocks(items: Column) -> Column:
+        width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(items))).cast("int"))
+
+        def one_block(state: Column, first: Column) -> Column:
+            begin = _state(state["open"], state["n"], F.array().cast("array<string>"))
+            block = F.aggregate(F.slice(items, first, width), begin, add)
+            return bind(block, lambda b: _state(b["open"], b["n"], F.concat(state["done"], b["done"])))
+
+        firsts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(items)), width)
+        return F.aggregate(firsts, _start(), one_block, _close)
+
+    return bind(measured, in_blocks)
+
+
 def _close(state: Column) -> Column:
     return F.concat(state["done"], F.array(state["open"]))
 
@@ -61,7 +82,7 @@ def split_oversized(section: Column, max_chars: int) -> Column:
             .otherwise(_state(text, n, _close(state)))
         )
 
-    return F.aggregate(_measured(F.split(section, fv.PARAGRAPH_BREAK)), _start(), add, _close)
+    return _fold(F.split(section, fv.PARAGRAPH_BREAK), add)
 
 
 def pack(parts: Column, max_chars: int) -> Column:
@@ -77,7 +98,7 @@ def pack(parts: Column, max_chars: int) -> Column:
             .otherwise(_state(text, n, _close(state)))
         )
 
-    return F.aggregate(_measured(parts), _start(), add, _close)
+    return _fold(parts, add)
 
 
 def chunk_array(markdown: Column, max_chars: int = fv.MAX_CHUNK_CHARS) -> Column:

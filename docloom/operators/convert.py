@@ -51,6 +51,8 @@ def shared_attributes(docs: DataFrame, table: DataFrame) -> DataFrame:
     rows = table.select("name", "value").orderBy("name").take(limit + 1)
     if len(rows) > limit:
         raise ValueError(f"more than {limit} shared attributes")
+    if any("\n" in row["name"] + row["value"] for row in rows):
+        raise ValueError("a shared attribute must be one line")
     defaults = {**dict(fv.DEFAULT_ATTRIBUTES), **{row["name"]: row["value"] for row in rows}}
     return docs.withColumn("attributes", attribute_entries(F.col("text"), tuple(defaults.items())))
 
