@@ -111,13 +111,14 @@ def process_staged(
     concurrency: int | None = fv.MAX_CONCURRENCY,
     timeout: int = fv.REQUEST_TIMEOUT_S,
     files_per_batch: int = 1,
-) -> dict | None:
+) -> int | None:
     """Run the generator over everything staged and not yet done.
 
     One micro-batch takes ``files_per_batch`` chunk files; on a cluster give
     it as many as keep every caller busy.  A failing generator ends the call
     with its error; finished micro-batches stay and the failed one is run
-    again by the next call.  Returns the stream's last progress.
+    again by the next call.  Returns the number of the last micro-batch, or
+    nothing if there was nothing to do.
     """
     made_by = get_generator(generator)
     staged = (
@@ -141,8 +142,8 @@ def process_staged(
         .start()
     )
     query.awaitTermination()
-    progress = query.lastProgress
-    return None if progress is None else {"batch_id": progress["batchId"], "rows": progress["numInputRows"]}
+    worked = [progress["batchId"] for progress in query.recentProgress if progress["numInputRows"]]
+    return worked[-1] if worked else None
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
