@@ -1,0 +1 @@
+"""Technical documentation to fine-tuning data, with Spark."""

@@ -177,7 +177,7 @@ def q_resumable_generation(spark, sf_dir):
     return generation.resumable_generation(
         _inputs(spark, sf_dir),
         work_dir(spark, "generation"),
-        batch_size=2000,
+        batch_size=20_000,
         concurrency=cores,
         files_per_batch=4 * cores,
     )
