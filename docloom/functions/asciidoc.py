@@ -67,16 +67,21 @@ def substitute_attributes(text: Column, entries: Column) -> Column:
 # cheaper than trying a pattern at every character of the text.
 
 
-def _blank_include(line: Column) -> Column:
+def blank_include(line: Column) -> Column:
     return F.when(F.startswith(line, F.lit(fv.INCLUDE_START)), "").otherwise(line)
 
 
-def _blank_directive(line: Column) -> Column:
-    conditional = F.lit(False)
+def blank_conditional(line: Column) -> Column:
+    """Only the directive goes; what it encloses always stays."""
+    directive = F.lit(False)
     for start in fv.CONDITIONAL_STARTS:
-        conditional = conditional | F.startswith(line, F.lit(start))
+        directive = directive | F.startswith(line, F.lit(start))
+    return F.when(directive, "").otherwise(line)
+
+
+def blank_definition(line: Column) -> Column:
     definition = F.startswith(line, F.lit(":")) & line.rlike(fv.DEFINITION_START)
-    return F.when(conditional | definition, "").otherwise(line)
+    return F.when(definition, "").otherwise(line)
 
 
 def drop_block_ids(text: Column) -> Column:
@@ -87,8 +92,7 @@ def drop_block_ids(text: Column) -> Column:
 
 def clean_asciidoc(text: Column, entries: Column | None = None) -> Column:
     """Attributes resolved, ``include`` lines blanked, block ids removed,
-    conditional and definition lines blanked, in this order.  What a
-    conditional encloses always stays.
+    conditional and definition lines blanked, in this order.
 
     ``entries`` replaces the attributes read from the text, e.g. when a
     shared table adds some.
@@ -97,15 +101,17 @@ def clean_asciidoc(text: Column, entries: Column | None = None) -> Column:
     def resolved(known: Column) -> Column:
         def line_done(line: Column) -> Column:
             without = drop_attribute_references(substitute_line(line, known))
-            return F.when(F.contains(line, F.lit("{")), bind(without, _blank_include)).otherwise(_blank_include(line))
+            return F.when(F.contains(line, F.lit("{")), bind(without, blank_include)).otherwise(blank_include(line))
 
         return map_lines(text, line_done)
 
     own = attribute_entries(text) if entries is None else entries
     resolved_text = F.when(F.contains(text, F.lit("{")), bind(own, resolved)).otherwise(
-        map_lines(text, _blank_include)
+        map_lines(text, blank_include)
+    )
+    return map_lines(
+        bind(resolved_text, drop_block_ids), lambda line: blank_definition(blank_conditional(line))
     )
-    return map_lines(bind(resolved_text, drop_block_ids), _blank_directive)
 
 
 # --- markup ----------------------------------------------------------------

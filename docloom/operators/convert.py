@@ -77,29 +77,37 @@ def _hook(converters: Mapping[str, Converter]):
     return convert
 
 
-def convert_documents(files: DataFrame, converters: Mapping[str, Converter] | None = None) -> DataFrame:
-    """``path, content`` -> ``path, md, error``.
-
-    AsciiDoc is converted by column expressions in the JVM.  ``converters``
-    maps a lower-case extension to a Python function; it may also replace the
-    native one.  A document without a converter, or whose converter raises,
-    keeps its row with an ``error``.
-    """
-    converters = dict(converters or {})
-    with_ext = files.select("path", "content", extension(F.col("path")).alias("ext"))
-    hooked = F.col("ext").isin(*converters) if converters else F.lit(False)
-    decoded = decode_documents(with_ext.where(~hooked))
+def convert_native(files: DataFrame) -> DataFrame:
+    """``path, content`` -> ``path, md, error`` by column expressions alone.
+    What is not AsciiDoc, or not UTF-8, keeps its row with an ``error``."""
+    ext = extension(F.col("path"))
+    decoded = decode_documents(files.select("path", "content", ext.alias("ext")))
     native = F.col("ext") == NATIVE_EXTENSION
-    no_converter = F.concat(F.lit("Unsupported extension: "), F.col("ext"))
-    converted = decoded.select(
+    return decoded.select(
         "path",
         F.when(native, asciidoc_markdown(F.col("text"))).alias("md"),
-        F.when(~native, no_converter).otherwise(F.col("error")).alias("error"),
+        F.when(~native, F.concat(F.lit("Unsupported extension: "), F.col("ext"))).otherwise(F.col("error")).alias("error"),
     )
+
+
+def convert_by_hook(files: DataFrame, converters: Mapping[str, Converter]) -> DataFrame:
+    """The same by Python functions, one per lower-case extension.  One that
+    raises gives its document an ``error``."""
+    with_ext = files.select("path", "content", extension(F.col("path")).alias("ext"))
+    return with_ext.mapInPandas(_hook(dict(converters)), "path string, md string, error string")
+
+
+def convert_documents(files: DataFrame, converters: Mapping[str, Converter] | None = None) -> DataFrame:
+    """Dispatch by extension over one table of files: to ``converters``,
+    which may also replace the native one, else to the native one.
+
+    Each of the two reads the table; for a document tree use
+    :func:`docloom.sources.documents.convert_tree`, which reads a file once.
+    """
     if not converters:
-        return converted
-    by_hook = with_ext.where(hooked).mapInPandas(_hook(converters), "path string, md string, error string")
-    return converted.unionByName(by_hook)
+        return convert_native(files)
+    hooked = extension(F.col("path")).isin(*converters)
+    return convert_native(files.where(~hooked)).unionByName(convert_by_hook(files.where(hooked), converters))
 
 
 def split_converted(converted: DataFrame) -> tuple[DataFrame, DataFrame]:

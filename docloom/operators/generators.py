@@ -79,7 +79,8 @@ class PandasGenerator:
     """A user's function ``(chunks: pandas.DataFrame, timeout) -> pandas.DataFrame``.
 
     It may return any number of rows per chunk, with exactly the columns of
-    ``schema``.  With ``on_error="fail"`` an exception ends the batch, which a
+    ``schema``.  A call gets ``rows_per_call`` chunks at most.  With
+    ``on_error="fail"`` an exception ends the batch, which a
     later start runs again; with ``"column"`` the chunks of a failed call are
     tried one by one and a failing one becomes a row with only ``chunk_id``
     and ``error``.
@@ -88,6 +89,7 @@ class PandasGenerator:
     function: Callable[[pd.DataFrame, int], pd.DataFrame]
     schema: T.StructType
     on_error: str = "fail"
+    rows_per_call: int = fv.BATCH_SIZE
 
     def __post_init__(self):
         if self.on_error not in ("fail", "column"):
@@ -103,7 +105,7 @@ class PandasGenerator:
     ) -> DataFrame:
         """``concurrency`` tasks call the function at the same time at most:
         a partition is one caller."""
-        function, names, on_error = self.function, self.schema.names, self.on_error
+        function, names, on_error, width = self.function, self.schema.names, self.on_error, self.rows_per_call
 
         def call(batch: pd.DataFrame) -> pd.DataFrame:
             rows = function(batch, timeout)
@@ -117,20 +119,23 @@ class PandasGenerator:
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                try:
-                    yield call(batch)
-                    continue
-                except Exception:
-                    if on_error == "fail":
-                        raise
-                for i in range(len(batch)):
-                    one = batch.iloc[i : i + 1]
-                    try:
-                        yield call(one)
-                    except Exception as error:  # noqa: BLE001 - reported in the row
-                        row = dict.fromkeys(names)
-                        row.update(chunk_id=one["chunk_id"].iloc[0], error=f"{type(error).__name__}: {error}")
-                        yield pd.DataFrame([row], columns=names)
+                for start in range(0, len(batch), width):
+                    yield from attempt(batch.iloc[start : start + width].reset_index(drop=True))
+
+        def attempt(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+            try:
+                yield call(batch)
+                return
+            except Exception as error:  # noqa: BLE001 - reported in the row
+                if on_error == "fail":
+                    raise
+                if len(batch) == 1:
+                    row = dict.fromkeys(names)
+                    row.update(chunk_id=batch["chunk_id"].iloc[0], error=f"{type(error).__name__}: {error}")
+                    yield pd.DataFrame([row], columns=names)
+                    return
+            for i in range(len(batch)):
+                yield from attempt(batch.iloc[i : i + 1].reset_index(drop=True))
 
         wanted = chunks.select(*INPUT_COLUMNS)
         spread = wanted if concurrency is None else wanted.repartition(concurrency)

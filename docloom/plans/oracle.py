@@ -86,6 +86,9 @@ def _with_chunks(select: str, max_chars: int = fv.MAX_CHUNK_CHARS, more: str = "
     return f"WITH {_MD},\n{_CLEANED},\n{_chunk_lists(max_chars)}{more}\n{select}"
 
 
+_MERGED = """merged AS (SELECT source, doc_id // 256 AS part, count(*) AS n_docs,
+  string_agg(md, concat(chr(10), chr(10), '---', chr(10), chr(10)) ORDER BY doc_id) AS md FROM md_documents GROUP BY 1, 2)"""
+
 _SETTINGS = ", ".join(_quoted(v) for v in (str(fv.MAX_CHUNK_CHARS), "sentences", fv.DOMAIN, OUTLINE))
 _INPUTS = f""",
 ranked AS (SELECT doc_id, pos, chunk, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, pos) AS rn FROM chunks),
@@ -103,9 +106,9 @@ _DEFAULT_NAMES = "[" + ", ".join(_quoted(n) for n, _ in fv.DEFAULT_ATTRIBUTES) +
 _DEFAULT_VALUES = "[" + ", ".join(_quoted(v) for _, v in fv.DEFAULT_ATTRIBUTES) + "]"
 
 
-def _attributes(source: str) -> str:
+def _attributes(source: str, definition: str = fv.ATTRIBUTE_LINE) -> str:
     """One row per attribute: place of its first, value of its last mention."""
-    pattern = _quoted(_lines(fv.ATTRIBUTE_LINE))
+    pattern = _quoted(_lines(definition))
     return f"""mentions AS (SELECT doc_id,
     unnest(list_concat({_DEFAULT_NAMES}, regexp_extract_all(text, {pattern}, 1))) AS name,
     unnest(list_concat({_DEFAULT_VALUES}, regexp_extract_all(text, {pattern}, 2))) AS value,
@@ -237,6 +240,8 @@ SELECT doc_id, CAST(generate_subscripts(secs, 1) - 1 AS INTEGER) AS pos, unnest(
   substring(sha256(concat_ws(':', CAST(count(*) AS VARCHAR), {words})), 1, 12) AS fingerprint
 FROM (SELECT sha256(text) AS h FROM documents)""",
         "adoc_attributes": f"WITH {_ADOC},\n{_attributes('adoc_documents')} SELECT doc_id, ord, name, value FROM attributes",
+        "adoc_attributes_across_lines": f"WITH {_ADOC},\n{_attributes('adoc_documents', fv.ATTRIBUTE_ACROSS_LINES)}"
+        " SELECT doc_id, ord, name, value FROM attributes",
         "adoc_clean": f"WITH {_ADOC},\n{_adoc_cleaned('adoc_documents')} SELECT doc_id, text FROM adoc_cleaned",
         "adoc_to_markdown": _MARKDOWN,
         "source_status": f"""WITH {_ADOC} SELECT doc_id, path, {ext} AS ext,
@@ -247,8 +252,10 @@ FROM (SELECT sha256(text) AS h FROM documents)""",
         "conversion_report": f"""WITH {_ADOC} SELECT {ext} AS ext,
   CASE WHEN {ext} = '.adoc' AND doc_id % 50 <> 7 THEN 'converted' ELSE 'failed' END AS status, count(*) AS n_docs
 FROM adoc_documents GROUP BY 1, 2""",
-        "merge_corpus": f"""WITH {_MD} SELECT source, doc_id // 256 AS part, count(*) AS n_docs,
-  string_agg(md, concat(chr(10), chr(10), '---', chr(10), chr(10)) ORDER BY doc_id) AS md FROM md_documents GROUP BY 1, 2""",
+        "merge_corpus": f"WITH {_MD},\n{_MERGED} SELECT source, part, n_docs, md FROM merged",
+        "merged_chunks": f"""WITH {_MD},\n{_MERGED},
+cleaned AS (SELECT part AS doc_id, source, {_clean('md')} AS md FROM merged),\n{_chunk_lists(fv.MAX_CHUNK_CHARS)}
+SELECT source, doc_id AS part, pos, chunk FROM chunks""",
         "last_per_basename": f"""WITH {_view("named", views.NAMED_COLUMNS)},
 ordered AS (SELECT *, regexp_replace(regexp_extract(path, '[^/]*$'), '\\.adoc$', '') AS base_name FROM named),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY base_name ORDER BY path DESC, doc_id DESC) AS rn FROM ordered)

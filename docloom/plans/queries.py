@@ -103,6 +103,14 @@ def q_adoc_attributes(spark, sf_dir):
     )
 
 
+def q_adoc_attributes_across_lines(spark, sf_dir):
+    docs = views.adoc_documents(spark, sf_dir)
+    entries = attribute_entries(F.col("text"), across_lines=True)
+    return docs.select("doc_id", F.posexplode(entries).alias("ord", "entry")).select(
+        "doc_id", "ord", "entry.name", "entry.value"
+    )
+
+
 def q_adoc_clean(spark, sf_dir):
     return views.adoc_documents(spark, sf_dir).select("doc_id", clean_asciidoc(F.col("text")).alias("text"))
 
@@ -138,6 +146,12 @@ def q_merge_corpus(spark, sf_dir):
     return corpus.merge_documents(views.md_documents(spark, sf_dir), "source", "doc_id")
 
 
+def q_merged_chunks(spark, sf_dir):
+    """Chunks of the merged parts; these may span documents."""
+    parts = corpus.merge_documents(views.md_documents(spark, sf_dir), "source", "doc_id").drop("n_docs")
+    return ck.chunk_documents(parts)
+
+
 def q_last_per_basename(spark, sf_dir):
     docs = views.documents_view(spark, sf_dir, views.NAMED_COLUMNS)
     return corpus.latest_by_base_name(docs, order=("path", "doc_id")).select("base_name", "doc_id", "path", "md")

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docloom import fixed_values as fv
 from docloom.operators.chunks import chunk_documents, dedup_chunks, generator_input
-from docloom.operators.convert import Converter, convert_documents
+from docloom.operators.convert import Converter
 from docloom.session import path_exists
-from docloom.sources.documents import read_documents
+from docloom.sources.documents import convert_tree
 from docloom.sources.sinks import read_converted, write_chat_jsonl, write_converted, write_dataset
 from docloom.streaming.generation import open_run, process_staged, read_generated, stage_chunks
 
@@ -62,7 +62,7 @@ def build_training_set(
     documents = f"{target}/documents"
     counts: dict[str, int] = {}
     if not (resume and path_exists(spark, f"{documents}/_SUCCESS")):
-        counts.update(write_converted(convert_documents(read_documents(spark, inputs), converters), documents))
+        counts.update(write_converted(convert_tree(spark, inputs, converters), documents))
     run = open_run(spark, f"{target}/generation", resume)
     stage_chunks(run, prepare_chunks(read_converted(spark, documents), settings), settings.batch_size)
     process_staged(

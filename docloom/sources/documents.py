@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom import fixed_values as fv
 from docloom.functions.paths import extension, is_supported
-from docloom.operators.convert import decode_documents
+from docloom.operators.convert import Converter, convert_by_hook, convert_native, decode_documents
 from docloom.session import path_kind, qualified
 
 _FILE_COLUMNS = ("path", "length", "modificationTime", "content")
@@ -86,6 +86,26 @@ def discovery_report(spark: SparkSession, inputs: Sequence[str], ignore_case: bo
     return found.unionByName(skipped.select("path", F.coalesce("status", F.lit("unsupported")).alias("status")))
 
 
+def convert_tree(
+    spark: SparkSession,
+    inputs: Sequence[str],
+    converters: Mapping[str, Converter] | None = None,
+    ignore_case: bool = False,
+) -> DataFrame:
+    """Documents of a tree as ``path, md, error``.
+
+    Files for the converters and files for the native conversion are listed
+    apart by their extension, so every file is read once.
+    """
+    converters = dict(converters or {})
+    native = tuple(ext for ext in fv.SUPPORTED_EXTENSIONS if ext not in converters)
+    converted = convert_native(read_documents(spark, inputs, native, ignore_case)) if native else None
+    if not converters:
+        return converted
+    by_hook = convert_by_hook(read_documents(spark, inputs, tuple(converters), ignore_case), converters)
+    return by_hook if converted is None else converted.unionByName(by_hook)
+
+
 def read_texts(spark: SparkSession, inputs: Sequence[str], **options) -> DataFrame:
     """Documents as text: ``path, text, error``."""
     return decode_documents(read_documents(spark, inputs, **options).select("path", "content"))

@@ -87,7 +87,9 @@ def write_merged_corpus(
     The files in name order, one after the other, are the corpus: documents
     in order with the separator between them, and the separator's last
     character (a line feed by default) at the very end.  A range sort spreads
-    the corpus over tasks; no task holds more than its share.
+    the corpus over tasks; no task holds more than its share.  ``docs`` is
+    scanned for its last key and for the sort's ranges too, so let it be a
+    written table.
     """
     if not separator:
         raise ValueError("the separator must not be empty")

@@ -84,6 +84,13 @@ def test_conversion_with_hook(spark, tree, fake_pdf):
     assert (rows["bad.adoc"]["md"], rows["bad.adoc"]["error"]) == (None, "not valid UTF-8")
 
 
+def test_tree_is_converted_like_a_table(spark, tree, fake_pdf):
+    table = convert.convert_documents(d.read_documents(spark, [str(tree)]), {".pdf": fake_pdf})
+    of_tree = d.convert_tree(spark, [str(tree)], {".pdf": fake_pdf})
+    assert sorted(map(str, of_tree.collect())) == sorted(map(str, table.collect()))
+    assert names(d.convert_tree(spark, [str(tree)])) == ["a.adoc", "b.pdf", "bad.adoc", "c.adoc"]
+
+
 def test_failing_hook_is_an_error_row(spark, fake_pdf):
     files = spark.createDataFrame([("a.pdf", bytearray(b"123456")), ("b.pdf", bytearray(b"1"))], "path string, content binary")
     good, bad = convert.split_converted(convert.convert_documents(files, {".pdf": fake_pdf}))
