@@ -22,6 +22,9 @@ def build_session(app_name: str = "docloom", master: str | None = None, **conf)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Looking up the caller's line at every step makes large expressions
+        # twice as slow to build.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         # A second copy of a running generator task would call the model twice.
         "spark.speculation": "false",
         **conf,
