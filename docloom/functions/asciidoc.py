@@ -117,8 +117,8 @@ def clean_asciidoc(text: Column, entries: Column | None = None) -> Column:
 # --- markup ----------------------------------------------------------------
 
 _LISTING = line_mode(r"^-{4,}[ \t]*$")
-_SOURCE_BEFORE_LISTING = line_mode(r"^\[source,[ \t]*([A-Za-z0-9_+#-]+)[^\]\n]*\]\n(-{4,})[ \t]*$")
-_LANGUAGE_MARK = "\x01"
+# A source line right in front of a listing; the group is its language.
+_SOURCE_LINE = line_mode(r"^\[source,[ \t]*([A-Za-z0-9_+#-]+)[^\]\n]*\]\n\z")
 _LINK = r"link:([^\s\[\]]+)\[([^\]\n]+)\]"
 _BARE_LINK = r"link:([^\s\[\]]+)\[\]"
 _URL = r"(?<![\w:])(https?://[^\s\[\]<>]+)\[([^\]\n]+)\]"
@@ -172,11 +172,9 @@ def _prose_to_markdown(text: Column) -> Column:
     return map_lines(text, _prose_line)
 
 
-def _listing_to_fence(body: Column) -> Column:
-    tagged = F.startswith(body, F.lit("\n" + _LANGUAGE_MARK))
-    body = F.when(tagged, F.substr(body, F.lit(3))).otherwise(body)
-    body = F.when(F.endswith(body, F.lit("\n")), body).otherwise(F.concat(body, F.lit("\n")))
-    return F.concat(F.lit("```"), body, F.lit("```"))
+def _listing_to_fence(language: Column, body: Column) -> Column:
+    closed = F.when(F.endswith(body, F.lit("\n")), body).otherwise(F.concat(body, F.lit("\n")))
+    return F.concat(F.lit("```"), language, closed, F.lit("```"))
 
 
 def asciidoc_to_markdown(text: Column) -> Column:
@@ -187,17 +185,19 @@ def asciidoc_to_markdown(text: Column) -> Column:
     other markup is passed through.  Listings are left verbatim; one that is
     never closed reaches to the end of the document.
     """
-    def listings(body: Column) -> Column:
-        parts = F.split(F.regexp_replace(body, _SOURCE_BEFORE_LISTING, f"$2\n{_LANGUAGE_MARK}$1"), _LISTING)
-        return F.array_join(
-            F.transform(
-                parts,
-                lambda part, i: F.when(i % 2 == 0, _prose_to_markdown(part)).otherwise(_listing_to_fence(part)),
-            ),
-            "",
-        )
+    def listings(parts: Column) -> Column:
+        def part_done(part: Column, i: Column) -> Column:
+            before_listing = i + 1 < F.size(parts)
+            prose = F.when(before_listing, F.regexp_replace(part, _SOURCE_LINE, "")).otherwise(part)
+            # Only evaluated for a listing, which always has prose before it.
+            language = F.regexp_extract(F.get(parts, i - 1), _SOURCE_LINE, 1)
+            return F.when(i % 2 == 0, _prose_to_markdown(prose)).otherwise(_listing_to_fence(language, part))
+
+        return F.array_join(F.transform(parts, part_done), "")
 
     def document(body: Column) -> Column:
-        return F.when(F.contains(body, F.lit("----")), listings(body)).otherwise(_prose_to_markdown(body))
+        return F.when(F.contains(body, F.lit("----")), bind(F.split(body, _LISTING), listings)).otherwise(
+            _prose_to_markdown(body)
+        )
 
     return bind(text, document)

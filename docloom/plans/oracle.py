@@ -147,14 +147,14 @@ def _prose(text: str) -> str:
     return text
 
 
+_SOURCE_LINE = _quoted(r"(?m)^\[source,[ \t]*([A-Za-z0-9_+#-]+)[^\]\n]*\]\n\z")
 _MARKDOWN = rf"""WITH {_ADOC},
 {_view("adoc_markup", views.ADOC_MARKUP_COLUMNS, "adoc_documents")},
 {_adoc_cleaned("adoc_markup")},
-marked AS (SELECT doc_id, regexp_replace(text,
-    '(?m)^\[source,[ \t]*([A-Za-z0-9_+#-]+)[^\]\n]*\]\n-{{4,}}[ \t]*$', concat(chr(2), '\1'), 'g') AS text FROM adoc_cleaned),
-parts AS (SELECT doc_id, string_split(regexp_replace(text, '(?m)^-{{4,}}[ \t]*$', chr(2), 'g'), chr(2)) AS p FROM marked)
-SELECT doc_id, list_aggregate(list_transform(p, lambda x, i: CASE WHEN i % 2 = 1 THEN {_prose('x')}
-  ELSE concat('```', x, CASE WHEN suffix(x, chr(10)) THEN '' ELSE chr(10) END, '```') END), 'string_agg', '') AS md FROM parts"""
+parts AS (SELECT doc_id, string_split(regexp_replace(text, '(?m)^-{{4,}}[ \t]*$', chr(2), 'g'), chr(2)) AS p FROM adoc_cleaned)
+SELECT doc_id, list_aggregate(list_transform(p, lambda x, i: CASE
+    WHEN i % 2 = 0 THEN concat('```', regexp_extract(p[i - 1], {_SOURCE_LINE}, 1), x, CASE WHEN suffix(x, chr(10)) THEN '' ELSE chr(10) END, '```')
+    WHEN i < len(p) THEN {_prose(f"regexp_replace(x, {_SOURCE_LINE}, '')")} ELSE {_prose('x')} END), 'string_agg', '') AS md FROM parts"""
 
 
 # --- question-answer rows --------------------------------------------------

@@ -68,10 +68,13 @@ def test_clean_asciidoc(value, raw, expected):
         (". a\n.. b\n.Title", "1. a\n   1. b\n.Title"),
         ("link:a.html[A b], link:b.html[]", "[A b](a.html), <b.html>"),
         ("(https://x.org/a[X]) http://y.org[] image:https://z.org[i]", "([X](https://x.org/a)) <http://y.org> image:https://z.org[i]"),
+        ("http://a.b[c]http://a.b[d]", "[c](http://a.b)[d](http://a.b)"),
         ("* see link:a[b]", "- see [b](a)"),
         ("a\n----\n* x\n= y\n----\n* z", "a\n```\n* x\n= y\n```\n- z"),
         ("[source,bash]\n----\nls\n----\n", "```bash\nls\n```\n"),
         ("[source,yaml,subs=+quotes]\n-----\nk: v\n-----", "```yaml\nk: v\n```"),
+        # Inside a listing a source line is code, and the dashes close it.
+        ("----\n[source,c]\n----\n[source,d]\nx", "```\n[source,c]\n```\n[source,d]\nx"),
         ("----\nnever closed", "```\nnever closed\n```"),
         ("a -- b --- c", "a -- b --- c"),
     ],
