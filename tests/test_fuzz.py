@@ -1,4 +1,4 @@
-"""The document queries on random markup, against DuckDB."""
+"""Queries on random markup and random turns, against DuckDB."""
 
 import random
 
@@ -25,6 +25,13 @@ NAMES = (
     "merged_chunks", "dedup_chunks", "adoc_attributes", "adoc_attributes_across_lines", "adoc_clean", "adoc_to_markdown", "generate_qa",
 )
 
+TAGS = ("<think>", "</think>", "<reasoning>", "</reasoning>", "<reflection>", "</reflection>", "<Think>", "</", "<think/>")
+QUOTES = ('"', '""', ",", "\\", '\\"', "'", "#", ";", "NA", "null", "\x08", "\x1f", "\x7f")
+TURN_TOKENS = TAGS * 2 + QUOTES + TOKENS[:14]
+TURN_NAMES = (
+    "strip_traces", "valid_qa", "qa_counts", "chat_messages", "chat_messages_no_system", "jsonl_round_trip", "csv_round_trip",
+)
+
 
 @pytest.fixture(scope="module", params=[1, 2])
 def data(request, spark, tmp_path_factory):
@@ -36,12 +43,20 @@ def data(request, spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("fuzz")
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame(rows, schema).coalesce(2).write.parquet(f"{folder}/documents.parquet")
+    turns = [
+        (i // 4, i % 4, ("user", "assistant")[i % 2], "".join(rng.choices(TURN_TOKENS, k=rng.randrange(12))))
+        for i in range(1200)
+    ]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(
+        f"{folder}/conversations.parquet"
+    )
     connection = duckdb.connect()
     connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    connection.execute(f"CREATE VIEW conversations AS SELECT * FROM '{folder}/conversations.parquet/*.parquet'")
     return str(folder), connection
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", NAMES + TURN_NAMES)
 def test_random_markup(spark, data, name):
     folder, duck = data
     frame = entry.queries()[name](spark, folder)
