@@ -22,83 +22,81 @@ def sections(markdown: Column) -> Column:
     return F.filter(parts, lambda part: ~is_blank(part))
 
 
-def _state(open_text: Column, open_length: Column, done: Column) -> Column:
-    """The piece still being filled, its length, and the finished ones."""
-    return F.struct(open_text.alias("open"), open_length.alias("n"), done.alias("done"))
-
+def slices(text: Column, width: int) -> Column:
+    """Consecutive pieces of exactly ``width``, the last one shorter."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{width}}}"), F.lit(0))
 
-def _start() -> Column:
-    return _state(F.lit(""), F.lit(0), F.array().cast("array<string>"))
 
+def _starts(parts: Column, max_chars: int, gap: int) -> Column:
+    """Indexes of the parts that start a new piece.
 
-def _fold(parts: Column, add: Callable[[Column, Column], Column]) -> Column:
-    """Fold over the parts and close the last open piece.
+    A part joins the open piece while the sum of the lengths, and a gap, stays
+    below the limit.  Behind a part that is too long by itself nothing is
+    open, nor behind an empty one.
 
-    A fold copies its whole state at every step.  So that a document of very
-    many parts costs little more than its length, blocks of parts are folded
-    into their own list first: with blocks of the square root of the number
-    of parts, neither the lists nor the number of blocks get long.
+    A fold copies its state at every step, so the state holds numbers, no
+    text.  So that a document of very many parts costs little more than its
+    length, blocks of parts are folded into their own list first: with blocks
+    of the square root of the number of parts, neither the lists nor the
+    number of blocks get long.
     """
-    measured = F.transform(parts, lambda part: F.struct(part.alias("text"), F.length(part).alias("n")))
+    nothing = F.array().cast("array<int>")
 
-    def in_blocks(items: Column) -> Column:
-        width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(items))).cast("int"))
+    def state(open_length: Column, starts: Column) -> Column:
+        return F.struct(open_length.cast("int").alias("n"), starts.alias("starts"))
 
-        def one_block(state: Column, first: Column) -> Column:
-            begin = _state(state["open"], state["n"], F.array().cast("array<string>"))
-            block = F.aggregate(F.slice(items, first, width), begin, add)
-            return bind(block, lambda b: _state(b["open"], b["n"], F.concat(state["done"], b["done"])))
+    def add(acc: Column, part: Column) -> Column:
+        joined = acc["n"] + part["n"] + gap
+        nothing_left = (part["n"] >= max_chars) | (part["n"] == 0)
+        return F.when((acc["n"] >= 0) & (joined < max_chars), state(joined, acc["starts"])).otherwise(
+            state(F.when(nothing_left, -1).otherwise(part["n"]), F.concat(acc["starts"], F.array(part["i"])))
+        )
 
-        firsts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(items)), width)
-        return F.aggregate(firsts, _start(), one_block, _close)
+    def in_blocks(sized: Column) -> Column:
+        items, width = sized["items"], sized["width"]
 
-    return bind(measured, in_blocks)
+        def one_block(acc: Column, first: Column) -> Column:
+            block = F.aggregate(F.slice(items, first, width), state(acc["n"], nothing), add)
+            return bind(block, lambda b: state(b["n"], F.concat(acc["starts"], b["starts"])))
 
+        firsts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(items)), width)
+        return F.aggregate(firsts, state(F.lit(-1), nothing), one_block, lambda acc: acc["starts"])
 
-def _close(state: Column) -> Column:
-    return F.concat(state["done"], F.array(state["open"]))
+    measured = F.transform(parts, lambda part, i: F.struct(F.length(part).alias("n"), i.alias("i")))
+    block_width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(parts))).cast("int"))
+    return bind(F.struct(measured.alias("items"), block_width.alias("width")), in_blocks)
 
 
-def slices(text: Column, width: int) -> Column:
-    """Consecutive pieces of exactly ``width``, the last one shorter."""
-    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{width}}}"), F.lit(0))
+def _pieces(parts: Column, max_chars: int, separator: str, split_long: Callable[[Column], Column]) -> Column:
+    """Parts packed greedily and joined; one that is too long by itself is
+    split further instead."""
 
+    def with_starts(items: Column, starts: Column) -> Column:
+        def piece(start: Column, j: Column) -> Column:
+            count = F.coalesce(F.get(starts, j + 1), F.size(items)) - start
+            only = F.get(items, start)
+            joined = F.array(F.array_join(F.slice(items, start + 1, count), separator))
+            return F.when((count == 1) & (F.length(only) >= max_chars), split_long(only)).otherwise(joined)
 
-def split_oversized(section: Column, max_chars: int) -> Column:
-    """Pack the paragraphs of one section; slice those that are too long.
+        return F.flatten(F.transform(starts, piece))
 
-    The two characters of the blank line between paragraphs are counted even
-    when no paragraph is open.
-    """
+    return bind(
+        parts,
+        lambda items: bind(_starts(items, max_chars, len(separator)), lambda starts: with_starts(items, starts)),
+    )
 
-    def add(state: Column, paragraph: Column) -> Column:
-        text, n = paragraph["text"], paragraph["n"]
-        nothing_open = state["open"] == ""
-        joined = F.when(nothing_open, text).otherwise(F.concat(state["open"], F.lit("\n\n"), text))
-        joined_length = F.when(nothing_open, n).otherwise(state["n"] + n + 2)
-        return (
-            F.when(state["n"] + n + 2 < max_chars, _state(joined, joined_length, state["done"]))
-            .when(n >= max_chars, _state(F.lit(""), F.lit(0), F.concat(_close(state), slices(text, max_chars))))
-            .otherwise(_state(text, n, _close(state)))
-        )
 
-    return _fold(F.split(section, fv.PARAGRAPH_BREAK), add)
+def split_oversized(section: Column, max_chars: int) -> Column:
+    """Pack the paragraphs of one section with the blank line between them;
+    slice those that are too long."""
+    paragraphs = F.split(section, fv.PARAGRAPH_BREAK)
+    return _pieces(paragraphs, max_chars, "\n\n", lambda paragraph: slices(paragraph, max_chars))
 
 
 def pack(parts: Column, max_chars: int) -> Column:
-    """Pack sections greedily.  An oversized section closes what is open
-    before it and leaves nothing open behind it."""
-
-    def add(state: Column, section: Column) -> Column:
-        text, n = section["text"], section["n"]
-        pieces = F.concat(_close(state), split_oversized(text, max_chars))
-        return (
-            F.when(state["n"] + n < max_chars, _state(F.concat(state["open"], text), state["n"] + n, state["done"]))
-            .when(n >= max_chars, _state(F.lit(""), F.lit(0), pieces))
-            .otherwise(_state(text, n, _close(state)))
-        )
-
-    return _fold(parts, add)
+    """Pack sections.  What is left of an oversized one is never packed with
+    the next section."""
+    return _pieces(parts, max_chars, "", lambda section: split_oversized(section, max_chars))
 
 
 def chunk_array(markdown: Column, max_chars: int = fv.MAX_CHUNK_CHARS) -> Column:

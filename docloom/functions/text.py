@@ -75,14 +75,22 @@ def drop_attribute_references(text: Column) -> Column:
 def clean_technical(text: Column, strict: bool = False) -> Column:
     """Remove embedded images and leftover ``{name}`` references.
 
-    Each pattern needs a literal that is cheap to look for.  Without
-    ``<figure>`` and ``data:image/`` in the input the four image patterns
-    match nothing, and a deletion never makes a ``{`` that was not there, so
-    most documents skip the regexes altogether.
+    Each pattern needs a literal that is cheap to look for, so a pattern runs
+    only where its literal is found.  Without ``<figure>`` and
+    ``data:image/`` in the input no image pattern can match, and a deletion
+    never makes a ``{`` that was not there: most documents are only searched.
     """
-    without_images = drop_data_uris(
-        drop_markdown_data_images(drop_html_data_images(drop_figures(text)), strict), strict
-    )
+
+    def where_found(literal: str, change: Callable[[Column], Column]) -> Callable[[Column], Column]:
+        return lambda t: F.when(F.contains(t, F.lit(literal)), change(t)).otherwise(t)
+
+    without_images = where_found("<figure>", drop_figures)(text)
+    for step in (
+        where_found("<img", drop_html_data_images),
+        where_found("](data:image/", lambda t: drop_markdown_data_images(t, strict)),
+        where_found(";base64,", lambda t: drop_data_uris(t, strict)),
+    ):
+        without_images = bind(without_images, step)
     has_image = F.contains(text, F.lit("<figure>")) | F.contains(text, F.lit("data:image/"))
     has_reference = F.contains(text, F.lit("{"))
     return (
