@@ -7,11 +7,13 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_DIR
+from docloom.plans import oracle as _oracle
+from docloom.plans import queries as _queries
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 SQL_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER"}
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = _queries.queries()
+ORACLE = _oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
