@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from docloom.session import work_dir
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first whole row of every key.
@@ -27,6 +29,33 @@ def block_of(key: str, width: int) -> Column:
     return F.expr(f"`{key}` div {int(width)}")
 
 
+def running_totals(df: DataFrame, order: Sequence[Column], amounts: Mapping[str, Column]) -> DataFrame:
+    """Adds, for every name, the total of its amount over all earlier rows.
+
+    ``order`` are expressions over the columns of ``df``, of any type; equal
+    rows may take each other's place.  No window spans the table: rows are dealt
+    out by ranges of the order and written, the totals of the ranges (one row
+    each) are added up, and rows are summed inside their range.
+    """
+    numbered = df.select("*", *[amount.cast("long").alias(f"_{name}") for name, amount in amounts.items()])
+    path = work_dir(df.sparkSession, "ranges")
+    numbered.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    ranged = df.sparkSession.read.parquet(path)
+    totals = ranged.groupBy("_range").agg(*[F.sum(f"_{name}").alias(f"_all_{name}") for name in amounts])
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        "_range", *[F.coalesce(F.sum(f"_all_{name}").over(earlier), F.lit(0)).alias(f"_all_{name}") for name in amounts]
+    )
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return ranged.join(offsets, "_range").select(
+        *df.columns,
+        *[
+            (F.col(f"_all_{name}") + F.coalesce(F.sum(f"_{name}").over(inside), F.lit(0))).alias(name)
+            for name in amounts
+        ],
+    )
+
+
 def dense_index(
     df: DataFrame,
     order: Sequence[str],
