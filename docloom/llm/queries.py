@@ -2,15 +2,75 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from docloom.llm.mixing import curriculum_plan
 from docloom.llm.ngram_join import ngram_jaccard_groups
 from docloom.llm.tables import table
+from docloom.llm.token_counts import token_counts
+
+
+def op5_token_counts(spark, sf_dir):
+    return token_counts(table(spark, sf_dir, "documents"))
 
 
 def op8_ngram_jaccard(spark, sf_dir):
     return ngram_jaccard_groups(table(spark, sf_dir, "documents"))
 
 
-ORACLE_SQL: dict[str, str] = {}
+def op9_curriculum_mix(spark, sf_dir):
+    plan = curriculum_plan(table(spark, sf_dir, "documents"))
+    first = F.round(F.get("copies", F.lit(0))["position"], 9).alias("first_position")
+    return plan.select("doc_id", "size", "source_size", "target", "taken", F.size("copies").alias("n_copies"), first)
+
+
+OP9_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source,
+         CAST(coalesce(len(regexp_extract_all(text, '[^ \t\n\x0B\x0C\r]+')), 0) AS BIGINT) AS size
+  FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS HUGEINT) AS source_size,
+         row_number() OVER (ORDER BY source NULLS LAST) - 1 AS pos
+  FROM sized GROUP BY source
+), weighted AS (
+  SELECT *, CAST([5, 2, 1][pos % 3 + 1] AS HUGEINT) AS weight, 3 * source_size AS bound FROM sources
+), filled AS (
+  SELECT *,
+         sum(weight) OVER (ORDER BY bound * 10 // weight, source NULLS LAST
+                           ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight_left,
+         sum(source_size) OVER () - coalesce(sum(bound) OVER (ORDER BY bound * 10 // weight, source NULLS LAST
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS size_left
+  FROM weighted
+), bounded AS (
+  SELECT *, CAST(bound * weight_left <= weight * size_left AS BOOLEAN) AS is_bounded FROM filled
+), targets AS (
+  SELECT source, pos, source_size,
+         CASE WHEN is_bounded THEN CAST(bound AS DOUBLE)
+              ELSE CAST(weight * (sum(source_size) OVER () - coalesce(sum(bound) FILTER (is_bounded) OVER (), 0)) AS DOUBLE)
+                   / CAST(sum(weight) FILTER (NOT is_bounded) OVER () AS DOUBLE) END AS target
+  FROM bounded
+), streams AS (
+  SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+  FROM sized
+), copies AS (
+  SELECT s.doc_id, s.size, CAST(t.source_size AS BIGINT) AS source_size, t.target, t.pos, i,
+         s.start + i * CAST(t.source_size AS BIGINT) AS begin,
+         greatest(least(CAST(floor(t.target) AS BIGINT) - (s.start + i * CAST(t.source_size AS BIGINT)), s.size), 0) AS words
+  FROM streams s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source, (VALUES (0), (1), (2)) AS rounds(i)
+), placed AS (
+  SELECT *, (begin + words / 2.0::DOUBLE) / target AS part, [0.5::DOUBLE, 0, -0.5][pos % 3 + 1] AS slope FROM copies
+)
+SELECT doc_id, size, source_size, target, CAST(sum(words) AS BIGINT) AS taken,
+       CAST(count(*) FILTER (words > 0) AS INTEGER) AS n_copies,
+       min(round(CASE WHEN slope = 0 THEN part
+            ELSE (1 + slope - sqrt((1 + slope) * (1 + slope) - 4 * slope * part)) / (2 * slope) END, 9))
+         FILTER (words > 0 AND i = 0) AS first_position
+FROM placed GROUP BY doc_id, size, source_size, target
+"""
+
+ORACLE_SQL: dict[str, str] = {"op9_curriculum_mix": OP9_SQL}
 
 
 def queries():
