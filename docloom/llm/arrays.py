@@ -28,12 +28,14 @@ _STEP = np.uint64(0xD1342543DE82EF95)
 
 class Words(NamedTuple):
     """Word hashes of some texts; those of text ``i`` are at
-    ``offsets[i]:offsets[i + 1]``, their bytes at ``start:end``."""
+    ``offsets[i]:offsets[i + 1]``, their bytes at ``start:end``; the text's
+    own bytes are at ``bounds[i]:bounds[i + 1]``."""
 
     hash: np.ndarray
     start: np.ndarray
     end: np.ndarray
     offsets: np.ndarray
+    bounds: np.ndarray
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -86,7 +88,7 @@ class _Kept(dict):
 _TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = _Kept()
 
 
-def _power_tables(length: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(length: int) -> tuple[np.ndarray, np.ndarray]:
     size = max(WINDOW, 1 << max(0, length - 1).bit_length())
     if size not in _TABLES:
         _TABLES[size] = _powers(_BASE, size), _powers(pow(_BASE, -1, 1 << 64), size)
@@ -133,13 +135,13 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     while begin < len(data):
         stop = _cut(space, offsets, begin)
         until = int(np.searchsorted(start, stop))
-        power, inverse = _power_tables(stop - begin)
+        power, inverse = power_tables(stop - begin)
         total = np.zeros(stop - begin + 1, dtype=np.uint64)
         np.cumsum(_BYTE[data[begin:stop]] * power[: stop - begin], out=total[1:])
         s, e = start[done:until] - begin, end[done:until] - begin
         hashes[done:until] = (total[e] - total[s]) * inverse[s]
         begin, done = stop, until
-    return Words(mix(hashes), start, end, np.searchsorted(start, offsets))
+    return Words(mix(hashes), start, end, np.searchsorted(start, offsets), offsets)
 
 
 def _sequence(hashes: np.ndarray, size: int) -> np.ndarray:

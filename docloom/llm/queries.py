@@ -6,14 +6,25 @@ from pyspark.sql import functions as F
 
 from docloom.llm.mixing import curriculum_plan
 from docloom.llm.ngram_join import ngram_jaccard_groups
+from docloom.llm.quality import quality_scores
+from docloom.llm.sentence_spans import drop_repeated_spans
 from docloom.llm.tables import table
 from docloom.llm.token_counts import token_counts
+from docloom.llm.topk import nearest_of_table
+
+
+def op1_quality_rules(spark, sf_dir):
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op5_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op7_top_k(spark, sf_dir):
+    return nearest_of_table(table(spark, sf_dir, "embeddings"))
+
+
 def op8_ngram_jaccard(spark, sf_dir):
     return ngram_jaccard_groups(table(spark, sf_dir, "documents"))
 
@@ -24,6 +35,27 @@ def op9_curriculum_mix(spark, sf_dir):
     return plan.select("doc_id", "size", "source_size", "target", "taken", F.size("copies").alias("n_copies"), first)
 
 
+def op10_sentence_spans(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return drop_repeated_spans(docs).select("doc_id", "n_sentences", "n_removed", "first_doc_ids", "text")
+
+
+OP7_SQL = """
+WITH vectors AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS parts
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+         CAST(list_inner_product(CAST(q.parts AS DOUBLE[]), CAST(v.parts AS DOUBLE[])) AS BIGINT) AS score
+  FROM vectors q JOIN vectors v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id AND len(q.parts) = len(v.parts)
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 OP9_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source,
@@ -70,7 +102,7 @@ SELECT doc_id, size, source_size, target, CAST(sum(words) AS BIGINT) AS taken,
 FROM placed GROUP BY doc_id, size, source_size, target
 """
 
-ORACLE_SQL: dict[str, str] = {"op9_curriculum_mix": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op7_top_k": OP7_SQL, "op9_curriculum_mix": OP9_SQL}
 
 
 def queries():
