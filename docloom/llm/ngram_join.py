@@ -48,7 +48,11 @@ BUCKET_BITS = 20
 HEAVY = 64
 SALTS = 16
 
+#: Bits of the filter for ids whose texts are asked for: 8 MB at any size.
+FILTER_BITS = 26
+
 _COUNT_BLOCK = 512
+_BITMAP_BYTES = 4096  # of a bucket of Spark's bitmap functions
 _SET_SCHEMA = "doc_id long, n int, set_a long, set_b long, block int, counts binary"
 _ENTRY_SCHEMA = "token long, salt int, cls long, n int, pos int"
 _LIST_SCHEMA = "token long, cls long, n int, pos int, hub long, hub_n int, near boolean"
@@ -220,29 +224,51 @@ def _names(schema: str) -> list[str]:
     return [field.split()[0] for field in schema.split(", ")]
 
 
-def _hashed_sets(words: int):
+def _hashed_sets(words: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = shared.value
         for batch in batches:
-            for _, _, _, found in batch_words(batch):
-                sets = [values for values in shingle_sets(found, words) if len(values)]
-                digests = [_digest(values) for values in sets]
+            bit = batch.column("bit").to_numpy()
+            batch = batch.filter(pa.array((wanted[bit >> 3] >> (bit & 7)) & 1 == 1))
+            ids = batch.column("doc_id").to_numpy()
+            for first, last, _, found in batch_words(batch):
+                sets = [values.tobytes() for values in shingle_sets(found, words)]
                 yield pa.record_batch(
-                    [
-                        pa.array([a for a, _ in digests], pa.int64()),
-                        pa.array([b for _, b in digests], pa.int64()),
-                        pa.array([values.tobytes() for values in sets], pa.binary()),
-                    ],
-                    names=["cls", "set_b", "grams"],
+                    [pa.array(ids[first:last], pa.int64()), pa.array(sets, pa.binary())], names=["doc_id", "grams"]
                 )
 
     return run
 
 
+def _bit(doc_id: str) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(1 << FILTER_BITS))
+
+
+def _id_filter(ids: DataFrame, doc_id: str) -> np.ndarray:
+    """One bit per hash of an id: ``2 ** FILTER_BITS`` of them at any size.
+
+    It lets a pass over the texts leave out most of what is not asked for
+    before anything is shuffled; the joins behind it decide.
+    """
+    bit = _bit(doc_id) + 1  # buckets of Spark's bitmaps begin at 1, 32769, ...
+    maps = ids.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")
+    )
+    found = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+    for row in maps.collect():
+        begin = (row["bucket"] - 1) * _BITMAP_BYTES
+        found[begin : begin + _BITMAP_BYTES] = np.frombuffer(row["bits"], np.uint8)
+    return found
+
+
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for a, b in zip(batch.column("grams_a"), batch.column("grams_b"), strict=True):
             x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (a, b))
+            if not len(y):
+                out.append((len(x), 0, 0))
+                continue
             at = np.minimum(np.searchsorted(y, x), len(y) - 1)
             out.append((len(x), len(y), int((y[at] == x).sum())))
         n_a, n_b, overlap = zip(*out, strict=True) if out else ((), (), ())
@@ -262,17 +288,19 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _compared(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, label: str) -> DataFrame:
     """Exact overlaps of ``pairs(a, b)`` of classes, from the whole texts."""
-    wanted = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select(F.col("b").alias("cls"))).distinct()
-    wanted = classes.join(wanted, "cls", "left_semi").select("cls", "set_b", "rep")
-    wanted = saved(wanted.repartition("rep").sortWithinPartitions("rep"), f"{label}-wanted")
-    texts = docs.join(wanted.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("text")
-    grams = texts.mapInArrow(_hashed_sets(words), "cls long, set_b long, grams binary")
-    grams = grams.join(wanted, ["cls", "set_b"]).dropDuplicates(["cls", "set_b"])
-    grams = saved(grams.select("cls", "rep", "grams"), f"{label}-grams")
-    a = grams.select(F.col("cls").alias("a"), F.col("rep").alias("rep_a"), F.col("grams").alias("grams_a"))
-    b = grams.select(F.col("cls").alias("b"), F.col("rep").alias("rep_b"), F.col("grams").alias("grams_b"))
+    a = classes.select(F.col("cls").alias("a"), F.col("rep").alias("rep_a"))
+    b = classes.select(F.col("cls").alias("b"), F.col("rep").alias("rep_b"))
+    named = saved(pairs.join(a, "a").join(b, "b"), f"{label}-named")
+    asked = named.select(F.col("rep_a").alias("rep")).unionAll(named.select(F.col("rep_b").alias("rep")))
+    shared = docs.sparkSession.sparkContext.broadcast(_id_filter(asked, "rep"))
+    grams = saved(
+        docs.withColumn("bit", _bit("doc_id")).mapInArrow(_hashed_sets(words, shared), "doc_id long, grams binary"),
+        f"{label}-grams",
+    )
+    a = grams.select(F.col("doc_id").alias("rep_a"), F.col("grams").alias("grams_a"))
+    b = grams.select(F.col("doc_id").alias("rep_b"), F.col("grams").alias("grams_b"))
     return saved(
-        pairs.join(a, "a").join(b, "b").mapInArrow(
+        named.join(a, "rep_a").join(b, "rep_b").mapInArrow(
             _overlaps, "a long, b long, rep_a long, rep_b long, n_a int, n_b int, overlap int"
         ),
         f"{label}-overlaps",
