@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from docloom.llm.decontaminate import contaminated
+from docloom.llm.lattice import lattice_scores
 from docloom.llm.mixing import curriculum_plan
 from docloom.llm.ngram_join import ngram_jaccard_groups
+from docloom.llm.pii import personal_data
 from docloom.llm.quality import quality_scores
 from docloom.llm.sentence_spans import drop_repeated_spans
 from docloom.llm.tables import table
@@ -17,6 +20,18 @@ def op1_quality_rules(spark, sf_dir):
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_personal_data(spark, sf_dir):
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
+def op3_lattice_likelihood(spark, sf_dir):
+    return lattice_scores(table(spark, sf_dir, "documents"))
+
+
+def op4_decontamination(spark, sf_dir):
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"))
 
