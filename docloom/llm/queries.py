@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docloom.llm.decontaminate import contaminated
+from docloom.llm.language import page_languages
 from docloom.llm.lattice import lattice_scores
 from docloom.llm.mixing import curriculum_plan
 from docloom.llm.ngram_join import ngram_jaccard_groups
@@ -36,6 +37,10 @@ def op5_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op6_page_language(spark, sf_dir):
+    return page_languages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op7_top_k(spark, sf_dir):
     return nearest_of_table(table(spark, sf_dir, "embeddings"))
 
