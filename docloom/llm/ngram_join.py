@@ -18,9 +18,10 @@ share at most ``min(n - p, m - q)``, which must reach the needed overlap.  A
 list is cut into blocks of like size and position; a pair of blocks whose
 best bound fails is skipped whole.
 
-*Answers from similar sets.*  Every set is first compared with the hub of each
-of its lists, the set that has the list's n-gram earliest.  Sets that link to
-one hub already are in one group, so a second round only looks at pairs whose
+*Answers from similar sets.*  The hub of a list is the set that has its n-gram
+earliest.  Every set is first compared with the hub it meets in most of its
+lists, then with those of its other hubs that are in another group by then.
+Sets that link to one hub already are in one group, so a second round only looks at pairs whose
 groups differ, and skips those where the overlaps with a common hub leave too
 little room.  A group of thousands of near copies thus costs a comparison per
 member and hub, not per pair, and no link between groups is lost.
@@ -312,6 +313,17 @@ def _links(compared: DataFrame, percent: int) -> DataFrame:
     return linked.select(F.col("rep_a").alias("src"), F.col("rep_b").alias("dst"))
 
 
+def _ordered_pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
+
+
+def _labels(classes: DataFrame, groups: DataFrame) -> DataFrame:
+    """``cls, label``: the group of every class, its own if it has no link."""
+    joined = classes.join(groups, classes["rep"] == groups["vertex"], "left")
+    labels = joined.groupBy("cls").agg(F.min(F.coalesce("component", "rep")).alias("label"))
+    return saved(labels, "ngram-labels")
+
+
 def _between_groups(lists: DataFrame, labels: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a, b`` of different groups that may link and are not compared."""
     entries = lists.select("token", "cls", "n", "pos").join(labels, "cls")
@@ -409,16 +421,23 @@ def ngram_jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PER
     ordered = entries.repartition("token", "salt").sortWithinPartitions("token", "salt", "pos", "n", "cls")
     lists = saved(ordered.mapInArrow(_lists(percent), _LIST_SCHEMA), "ngram-lists")
 
-    to_hubs = lists.where("near").select(F.col("cls").alias("a"), F.col("hub").alias("b"))
-    to_hubs = to_hubs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    compared = _compared(saved(to_hubs, "ngram-hubs"), docs, classes, words, "ngram-hub")
+    met = saved(
+        lists.where("near").groupBy("cls", "hub").agg(F.count(F.lit(1)).alias("met")), "ngram-hubs"
+    )
+    best = met.groupBy("cls").agg(F.max(F.struct("met", "hub"))["hub"].alias("hub"))
+    compared = _compared(_ordered_pairs(best), docs, classes, words, "ngram-hub")
     links = _links(compared, percent)
-    groups = saved(components(links), "ngram-groups")
+    labels = _labels(classes, components(links))
 
-    labels = classes.join(groups, classes["rep"] == groups["vertex"], "left").select(
-        "cls", F.coalesce("component", "rep").alias("label")
-    )
-    rest = saved(_between_groups(lists, labels.dropDuplicates(["cls"]), compared, percent), "ngram-rest")
+    hubs = labels.select(F.col("cls").alias("hub"), F.col("label").alias("hub_label"))
+    others = met.join(labels, "cls").join(hubs, "hub").where("label <> hub_label").select("cls", "hub")
+    known = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    others = _ordered_pairs(others).join(known, ["a", "b"], "left_anti")
+    again = _compared(others, docs, classes, words, "ngram-others")
+    compared = compared.unionAll(again)
+    links = links.unionAll(_links(again, percent))
+    labels = _labels(classes, components(links))
+    rest = saved(_between_groups(lists, labels, compared, percent), "ngram-rest")
     more = _compared(rest, docs, classes, words, "ngram-more")
     final = components(links.unionAll(_links(more, percent)))
 
