@@ -246,8 +246,8 @@ def _looked_up(shared):
                         rows.column("held_out"),
                         pa.array(np.diff(found.offsets)),
                         pa.array(np.bincount(of, known[at], minlength=size).astype(np.int64)),
-                        pa.array(np.bincount(of, base[at], minlength=size)),
-                        pa.array(np.bincount(of, lattice[at], minlength=size)),
+                        pa.array(np.bincount(of, base[at], minlength=size).astype(np.float64)),
+                        pa.array(np.bincount(of, lattice[at], minlength=size).astype(np.float64)),
                         pa.nulls(size, pa.string()),
                         pa.nulls(size, pa.int64()),
                     ],

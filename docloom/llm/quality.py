@@ -219,6 +219,8 @@ def fit_rules(x: np.ndarray, y: np.ndarray) -> RuleModel:
         holds = _holds(x, rule)
         held.setdefault(holds.tobytes(), (rule, holds))
     kept = list(held.values())
+    if not kept:
+        return RuleModel(intercept, ())
     a = np.stack([holds for _, holds in kept], axis=1).astype(np.float32)
     step = 4.0 / max(1e-9, float(np.linalg.eigvalsh(a.T @ a / len(y))[-1]) + 1)
     weights, moved, momentum, bias = np.zeros(a.shape[1]), np.zeros(a.shape[1]), 1.0, intercept
