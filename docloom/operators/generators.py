@@ -100,11 +100,12 @@ class PandasGenerator:
     def generate(
         self,
         chunks: DataFrame,
-        concurrency: int | None = fv.MAX_CONCURRENCY,
+        concurrency: int | None = None,
         timeout: int = fv.REQUEST_TIMEOUT_S,
     ) -> DataFrame:
-        """``concurrency`` tasks call the function at the same time at most:
-        a partition is one caller."""
+        """``concurrency`` tasks call the function at the same time at most: a
+        partition is one caller.  Without it every task calls; give it (10
+        suits one endpoint) where the function calls a shared service."""
         function, names, on_error, width = self.function, self.schema.names, self.on_error, self.rows_per_call
 
         def call(batch: pd.DataFrame) -> pd.DataFrame:
@@ -159,7 +160,7 @@ def get_generator(name: str) -> Generator:
 def generate_qa(
     chunks: DataFrame,
     generator: str = "sentences",
-    concurrency: int = fv.MAX_CONCURRENCY,
+    concurrency: int | None = None,
     timeout: int = fv.REQUEST_TIMEOUT_S,
 ) -> DataFrame:
     """Apply a generator by name.  Write the result once and read it back: a

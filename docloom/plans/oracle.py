@@ -189,9 +189,9 @@ def _messages(question: str, response: str | None = None, system: str = "") -> s
 
 
 _EVAL = """eval_answers AS (
-SELECT item_id AS question_id, 'reference' AS model, text AS question, substring(text, 1, 80) AS answer FROM benchmark
+SELECT item_id AS question_id, 'reference' AS model, text AS question, text AS answer FROM benchmark
 UNION ALL
-SELECT item_id, 'tuned', text, concat('T: ', substring(text, 1, 120)) FROM benchmark WHERE item_id % 5 <> 4)"""
+SELECT item_id, 'tuned', text, concat('T: ', text) FROM benchmark WHERE item_id % 5 <> 4)"""
 
 _GENERATED = """,
 facts AS (SELECT chunk_id, domain, CAST(generate_subscripts(f, 1) - 1 AS INTEGER) AS fact_no, unnest(f) AS fact FROM (

@@ -104,9 +104,9 @@ def qa_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def eval_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "benchmark")
     reference = items.selectExpr(
-        "item_id AS question_id", "'reference' AS model", "text AS question", "substring(text, 1, 80) AS answer"
+        "item_id AS question_id", "'reference' AS model", "text AS question", "text AS answer"
     )
     tuned = items.where("item_id % 5 <> 4").selectExpr(
-        "item_id AS question_id", "'tuned' AS model", "text AS question", "concat('T: ', substring(text, 1, 120)) AS answer"
+        "item_id AS question_id", "'tuned' AS model", "text AS question", "concat('T: ', text) AS answer"
     )
     return reference.unionAll(tuned)

@@ -67,6 +67,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hadoop_path))
 
 
+def replace_path(spark: SparkSession, source: str, target: str) -> None:
+    """Put a finished folder in the place of ``target``."""
+    fs, target_path = _file_system(spark, target)
+    if fs.exists(target_path):
+        fs.delete(target_path, True)
+    if not fs.rename(_file_system(spark, source)[1], target_path):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def path_kind(spark: SparkSession, path: str) -> str:
     """``"file"``, ``"directory"`` or ``"missing"``."""
     fs, hadoop_path = _file_system(spark, path)

@@ -91,21 +91,46 @@ def convert_tree(
     inputs: Sequence[str],
     converters: Mapping[str, Converter] | None = None,
     ignore_case: bool = False,
+    done: DataFrame | None = None,
 ) -> DataFrame:
-    """Documents of a tree as ``path, md, error``.
+    """Documents of a tree as ``path, md, error``, but for those in
+    ``done(path)``.
 
     Files for the converters and files for the native conversion are listed
     apart by their extension, so every file is read once.
     """
     converters = dict(converters or {})
+
+    def files(extensions: tuple[str, ...]) -> DataFrame:
+        found = read_documents(spark, inputs, extensions, ignore_case)
+        return found if done is None else found.join(done.select("path"), "path", "left_anti")
+
     native = tuple(ext for ext in fv.SUPPORTED_EXTENSIONS if ext not in converters)
-    converted = convert_native(read_documents(spark, inputs, native, ignore_case)) if native else None
+    converted = convert_native(files(native)) if native else None
     if not converters:
         return converted
-    by_hook = convert_by_hook(read_documents(spark, inputs, tuple(converters), ignore_case), converters)
+    by_hook = convert_by_hook(files(tuple(converters)), converters)
     return by_hook if converted is None else converted.unionByName(by_hook)
 
 
+def list_files(
+    spark: SparkSession,
+    inputs: Sequence[str],
+    converters: Mapping[str, Converter] | None = None,
+    ignore_case: bool = False,
+) -> DataFrame:
+    """``path, length, modified, converter`` of the files ``convert_tree``
+    reads; no content is read.  The four together say whether a conversion
+    would see the same again."""
+    names = {ext: f"{f.__module__}.{getattr(f, '__qualname__', type(f).__qualname__)}" for ext, f in (converters or {}).items()}
+    extensions = tuple(dict.fromkeys([*fv.SUPPORTED_EXTENSIONS, *names]))
+    found = read_documents(spark, inputs, extensions, ignore_case)
+    name = F.lit("native")
+    for ext, converter in names.items():
+        name = F.when(extension(F.col("path")) == ext, F.lit(converter)).otherwise(name)
+    return found.select("path", "length", F.col("modificationTime").alias("modified"), name.alias("converter"))
+
+
 def read_texts(spark: SparkSession, inputs: Sequence[str], **options) -> DataFrame:
     """Documents as text: ``path, text, error``."""
     return decode_documents(read_documents(spark, inputs, **options).select("path", "content"))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from docloom import fixed_values as fv
 from docloom.operators.qa import chat_rows, require_columns, strip_traces, valid_qa
+from docloom.session import path_exists, replace_path
 
 
 def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -38,23 +41,38 @@ def write_chat_jsonl(
     null_words: tuple[str, ...] = (),
 ) -> int:
     """Chat rows as JSON Lines; returns their number and fails when there is
-    none.  Non-ASCII characters stay as they are."""
+    none, in which case an earlier output stays.  Non-ASCII characters stay as
+    they are."""
     require_columns(qa)
     rows, count = _observed(chat_rows(valid_qa(qa, null_words=null_words), system_prompt))
-    rows.select(F.to_json(F.struct("messages"))).write.mode(mode).text(path)
+    lines = rows.select(F.to_json(F.struct("messages")))
+    spark = qa.sparkSession
+    aside = mode == "overwrite" and path_exists(spark, path)
+    target = _pending(path) if aside else path
+    lines.write.mode(mode).text(target)
     written = count.get["n"]
     if written == 0:
         raise ValueError("no valid training examples: every question or response is missing")
+    if aside:
+        replace_path(spark, target, path)
     return written
 
 
+def _pending(path: str) -> str:
+    """A new folder beside ``path`` that no reader of ``path`` looks into."""
+    return f"{path.rstrip('/')}-pending-{uuid.uuid4().hex}"
+
+
 def write_converted(converted: DataFrame, path: str, mode: str = "overwrite") -> dict[str, int]:
     """``path, md, error`` as one table partitioned by ``status``.
 
     One pass, so a converter runs once per document; :func:`read_converted`
     prunes to the good or the failed ones.  Returns the numbers found,
-    converted and failed; fails when no document was converted.
+    converted and failed; fails when no document was converted, and then
+    leaves ``path`` as it was.
     """
+    spark = converted.sparkSession
+    target = _pending(path) if mode == "overwrite" else path
     count = Observation()
     failed = F.col("error").isNotNull()
     converted.withColumn("status", F.when(failed, "failed").otherwise("converted")).observe(
@@ -62,10 +80,12 @@ def write_converted(converted: DataFrame, path: str, mode: str = "overwrite") ->
         F.count(F.lit(1)).alias("found"),
         F.count_if(~failed).alias("converted"),
         F.count_if(failed).alias("failed"),
-    ).write.mode(mode).partitionBy("status").parquet(path)
+    ).write.mode(mode).partitionBy("status").parquet(target)
     totals = {name: count.get[name] for name in ("found", "converted", "failed")}
     if totals["converted"] == 0:
         raise ValueError(f"no document was converted ({totals['found']} found)")
+    if target != path:
+        replace_path(spark, target, path)
     return totals
 
 

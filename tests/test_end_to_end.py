@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from docloom.plans.training_set import Settings, build_training_set
 
 
@@ -21,3 +23,55 @@ def test_documents_to_chat_rows(spark, tmp_path):
     assert {"It weaves", "One fact é"} <= {m[2]["content"] for m in messages}
     resumed = build_training_set(spark, [str(docs)], target, settings, resume=True)
     assert resumed == {"rows": 10, "examples": 10}
+
+
+def rows_of(target):
+    lines = [x for f in (target / "train").glob("part-*") for x in f.read_text(encoding="utf-8").splitlines()]
+    return sorted(lines)
+
+
+def tree(folder, **texts):
+    folder.mkdir(exist_ok=True)
+    for name, text in texts.items():
+        (folder / f"{name}.adoc").write_text(text, encoding="utf-8")
+    return str(folder)
+
+
+def test_resume_equals_a_fresh_run(spark, tmp_path):
+    """Other tree, added, changed and removed files, other settings."""
+    target = tmp_path / "out"
+
+    def check(inputs, settings):
+        build_training_set(spark, [inputs], str(target), settings, resume=True)
+        fresh = tmp_path / f"fresh{len(list(tmp_path.iterdir()))}"
+        build_training_set(spark, [inputs], str(fresh), settings)
+        assert rows_of(target) == rows_of(fresh)
+
+    one, two = Settings(domain="Loom"), Settings(domain="Wool", max_chars=40)
+    a = tree(tmp_path / "a", x="= X\n\nOne fact.\n", y="= Y\n\nOther fact.\n")
+    check(a, one)
+    tree(tmp_path / "a", z="= Z\n\nAdded fact.\n", x="= X\n\nA fact that changed.\n")
+    check(a, one)
+    (tmp_path / "a" / "y.adoc").unlink()
+    check(a, one)
+    check(a, two)
+    check(a, one)
+    check(tree(tmp_path / "b", x="= X\n\nFrom the other tree.\n"), one)
+
+
+def test_failed_conversions_are_tried_again(spark, tmp_path):
+    inputs = tmp_path / "docs"
+    inputs.mkdir()
+    (inputs / "d.pdf").write_bytes(b"%PDF")
+    target = str(tmp_path / "out")
+
+    def broken(path, content):
+        raise OSError("no reader")
+
+    def working(path, content):
+        return "# From PDF\n\nIts fact."
+
+    with pytest.raises(ValueError, match="no document was converted"):
+        build_training_set(spark, [str(inputs)], target, converters={".pdf": broken})
+    counts = build_training_set(spark, [str(inputs)], target, converters={".pdf": working}, resume=True)
+    assert counts["converted"] == 1 and counts["examples"] == counts["rows"] > 0
