@@ -36,9 +36,12 @@ def read_qa_csv(
 
     An empty cell is null; so are ``null_words`` if given.  ``multiline``
     allows line feeds inside quotes, but then one file is one task: keep large
-    tables in many files, or in Parquet as the steps here do.
+    tables in many files, or in Parquet as the steps here do.  A file whose
+    header differs from the schema (or from the first file's header) in names
+    or order is an error: cells are assigned by position.
     """
     reader = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
+    reader = reader.option("enforceSchema", False)
     if schema is not None:
         reader = reader.schema(schema)
     table = reader.csv(path)

@@ -109,6 +109,17 @@ def test_csv_round_trip(spark, tmp_path):
     assert untyped.where("qa_id = '3'").first()["question"] is None
 
 
+def test_csv_columns_in_other_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("question,response\nQ,R\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text("response,question\nR,Q\n", encoding="utf-8")
+    a, b = str(tmp_path / "a.csv"), str(tmp_path / "b.csv")
+    assert tables.read_qa_csv(spark, b, "response string, question string").first()["question"] == "Q"
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.read_qa_csv(spark, b, "question string, response string").collect()
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.read_qa_csv(spark, [a, b]).collect()
+
+
 def test_csv_written_by_others(spark, tmp_path):
     file = tmp_path / "qa.csv"
     file.write_text('question,response\n"a ""b""","two\nlines"\nplain,\n', encoding="utf-8")
