@@ -32,11 +32,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.arrays import batch_words, mix, shingle_sets
+from docloom.llm.arrays import batch_words, mix, shingle_sets, slices, utf8
+from docloom.llm.arrays import words as text_words
 from docloom.llm.links import components
 from docloom.llm.tables import saved
 
@@ -225,20 +227,13 @@ def _names(schema: str) -> list[str]:
     return [field.split()[0] for field in schema.split(", ")]
 
 
-def _hashed_sets(words: int, shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = shared.value
-        for batch in batches:
-            bit = batch.column("bit").to_numpy()
-            batch = batch.filter(pa.array((wanted[bit >> 3] >> (bit & 7)) & 1 == 1))
-            ids = batch.column("doc_id").to_numpy()
-            for first, last, _, found in batch_words(batch):
-                sets = [values.tobytes() for values in shingle_sets(found, words)]
-                yield pa.record_batch(
-                    [pa.array(ids[first:last], pa.int64()), pa.array(sets, pa.binary())], names=["doc_id", "grams"]
-                )
+def _asked(shared):
+    @F.pandas_udf("boolean")
+    def asked(bit: pd.Series) -> pd.Series:
+        at = bit.to_numpy()
+        return pd.Series((shared.value[at >> 3] >> (at & 7)) & 1 == 1)
 
-    return run
+    return asked
 
 
 def _bit(doc_id: str) -> Column:
@@ -262,47 +257,55 @@ def _id_filter(ids: DataFrame, doc_id: str) -> np.ndarray:
     return found
 
 
-def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for a, b in zip(batch.column("grams_a"), batch.column("grams_b"), strict=True):
-            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (a, b))
-            if not len(y):
-                out.append((len(x), 0, 0))
-                continue
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            out.append((len(x), len(y), int((y[at] == x).sum())))
-        n_a, n_b, overlap = zip(*out, strict=True) if out else ((), (), ())
-        yield pa.record_batch(
-            [
-                batch.column("a"),
-                batch.column("b"),
-                batch.column("rep_a"),
-                batch.column("rep_b"),
-                pa.array(n_a, pa.int32()),
-                pa.array(n_b, pa.int32()),
-                pa.array(overlap, pa.int32()),
-            ],
-            names=["a", "b", "rep_a", "rep_b", "n_a", "n_b", "overlap"],
-        )
+def _sets_of(ids: pa.Array, texts: pa.Array, size: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The sets of some texts, each text read once, and which one each row has."""
+    _, first, which = np.unique(ids.to_numpy(), return_index=True, return_inverse=True)
+    return list(shingle_sets(text_words(*utf8(texts.take(pa.array(first)))), size)), which
+
+
+def _overlaps(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = utf8(batch.column("text_a"))[1] + utf8(batch.column("text_b"))[1]
+            for first, last in slices(sizes):
+                piece = batch.slice(first, last - first)
+                (sets_a, which_a), (sets_b, which_b) = (
+                    _sets_of(piece.column(f"rep_{side}"), piece.column(f"text_{side}"), words) for side in "ab"
+                )
+                out = []
+                for i, j in zip(which_a, which_b, strict=True):
+                    x, y = sets_a[i], sets_b[j]
+                    at = np.minimum(np.searchsorted(y, x), max(len(y) - 1, 0))
+                    out.append((len(x), len(y), int((y[at] == x).sum()) if len(y) else 0))
+                n_a, n_b, overlap = zip(*out, strict=True)
+                yield pa.record_batch(
+                    [
+                        *[piece.column(name) for name in ("a", "b", "rep_a", "rep_b")],
+                        *[pa.array(values, pa.int32()) for values in (n_a, n_b, overlap)],
+                    ],
+                    names=["a", "b", "rep_a", "rep_b", "n_a", "n_b", "overlap"],
+                )
+
+    return run
 
 
 def _compared(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, label: str) -> DataFrame:
-    """Exact overlaps of ``pairs(a, b)`` of classes, from the whole texts."""
+    """Exact overlaps of ``pairs(a, b)`` of classes, from the whole texts.
+
+    Texts travel, not their sets: eight bytes per n-gram that do not compress
+    are more than the words.
+    """
     a = classes.select(F.col("cls").alias("a"), F.col("rep").alias("rep_a"))
     b = classes.select(F.col("cls").alias("b"), F.col("rep").alias("rep_b"))
     named = saved(pairs.join(a, "a").join(b, "b"), f"{label}-named")
-    asked = named.select(F.col("rep_a").alias("rep")).unionAll(named.select(F.col("rep_b").alias("rep")))
-    shared = docs.sparkSession.sparkContext.broadcast(_id_filter(asked, "rep"))
-    grams = saved(
-        docs.withColumn("bit", _bit("doc_id")).mapInArrow(_hashed_sets(words, shared), "doc_id long, grams binary"),
-        f"{label}-grams",
-    )
-    a = grams.select(F.col("doc_id").alias("rep_a"), F.col("grams").alias("grams_a"))
-    b = grams.select(F.col("doc_id").alias("rep_b"), F.col("grams").alias("grams_b"))
+    ids = named.select(F.col("rep_a").alias("rep")).unionAll(named.select(F.col("rep_b").alias("rep")))
+    shared = docs.sparkSession.sparkContext.broadcast(_id_filter(ids, "rep"))
+    wanted = docs.where(_asked(shared)(_bit("doc_id")))
+    a = wanted.select(F.col("doc_id").alias("rep_a"), F.col("text").alias("text_a"))
+    b = wanted.select(F.col("doc_id").alias("rep_b"), F.col("text").alias("text_b"))
     return saved(
         named.join(a, "rep_a").join(b, "rep_b").mapInArrow(
-            _overlaps, "a long, b long, rep_a long, rep_b long, n_a int, n_b int, overlap int"
+            _overlaps(words), "a long, b long, rep_a long, rep_b long, n_a int, n_b int, overlap int"
         ),
         f"{label}-overlaps",
     )
