@@ -12,6 +12,7 @@ from docloom.llm.ngram_join import ngram_jaccard_groups
 from docloom.llm.pii import personal_data
 from docloom.llm.quality import quality_scores
 from docloom.llm.sentence_spans import drop_repeated_spans
+from docloom.llm.sketches import edited_fingerprints
 from docloom.llm.tables import table
 from docloom.llm.token_counts import token_counts
 from docloom.llm.topk import nearest_of_table
@@ -60,6 +61,14 @@ def op10_sentence_spans(spark, sf_dir):
     return drop_repeated_spans(docs).select("doc_id", "n_sentences", "n_removed", "first_doc_ids", "text")
 
 
+def op13_fingerprints(spark, sf_dir):
+    found = edited_fingerprints(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        "near_edited", "near_next",
+    )
+
+
 OP7_SQL = """
 WITH vectors AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS parts
@@ -122,7 +131,59 @@ SELECT doc_id, size, source_size, target, CAST(sum(words) AS BIGINT) AS taken,
 FROM placed GROUP BY doc_id, size, source_size, target
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_top_k": OP7_SQL, "op9_curriculum_mix": OP9_SQL}
+OP13_SQL = r"""
+WITH rows AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents
+), ids AS (
+  SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS place, min(text) AS text
+  FROM rows WHERE doc_id IS NOT NULL GROUP BY doc_id
+), following AS (
+  SELECT a.doc_id, b.text AS next FROM ids a JOIN ids b ON b.place = (a.place + 1) % (SELECT count(*) FROM ids)
+), edits AS (
+  SELECT r.doc_id, r.text, f.next,
+         left(r.text, length(r.text) - length(r.text) // 4) || left(f.next, length(r.text) // 4) AS edited
+  FROM rows r LEFT JOIN following f USING (doc_id)
+), texts AS (
+  SELECT DISTINCT unnest([text, next, edited]) AS text FROM edits
+), folded AS (
+  SELECT text, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\x0B\x0C\r]+') AS words
+  FROM texts WHERE text IS NOT NULL
+), hashed AS (
+  SELECT text, list_sort(list_distinct(list_transform(
+           range(1, CASE WHEN len(words) = 0 THEN 1 ELSE greatest(len(words) - 4, 1) + 1 END),
+           lambda i: substring(md5(array_to_string(words[i:i + 4], ' ')), 1, 16)))) AS hashes
+  FROM folded
+), prints AS (
+  SELECT text, hashes[1:128] AS print FROM hashed
+), joined AS (
+  SELECT e.*, a.print AS own, b.print AS changed, c.print AS other
+  FROM edits e JOIN prints a ON a.text = e.text
+  LEFT JOIN prints b ON b.text = e.edited LEFT JOIN prints c ON c.text = e.next
+), unions AS (
+  SELECT *, list_sort(list_distinct(list_concat(own, changed))) AS with_changed,
+         list_sort(list_distinct(list_concat(own, other))) AS with_other
+  FROM joined
+), counts AS (
+  SELECT *,
+         CASE WHEN len(own) < 128 AND len(changed) < 128 THEN len(with_changed) ELSE least(128, len(with_changed)) END AS m,
+         CASE WHEN len(own) < 128 AND len(other) < 128 THEN len(with_other) ELSE least(128, len(with_other)) END AS n
+  FROM unions
+)
+SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256,
+       array_to_string(own, '') AS fingerprint, array_to_string(changed, '') AS edited_fingerprint,
+       CASE WHEN edited IS NULL THEN NULL WHEN m = 0 THEN 1.0::DOUBLE
+            ELSE len(list_filter(list_intersect(own, changed), lambda x: x <= with_changed[m])) / m::DOUBLE END AS near_edited,
+       CASE WHEN edited IS NULL THEN NULL WHEN n = 0 THEN 1.0::DOUBLE
+            ELSE len(list_filter(list_intersect(own, other), lambda x: x <= with_other[n])) / n::DOUBLE END AS near_next
+FROM counts
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op7_top_k": OP7_SQL,
+    "op9_curriculum_mix": OP9_SQL,
+    "op13_fingerprints": OP13_SQL,
+}
 
 
 def queries():

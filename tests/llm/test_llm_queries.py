@@ -26,7 +26,7 @@ def test_query_equals_sql(spark, name):
 def test_registered():
     names = set(entry.queries())
     assert set(llm.queries()) < names and "pipeline" in names
-    assert {name.split("_")[0] for name in llm.queries()} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in llm.queries()} == {f"op{n}" for n in range(1, 14)}
 
 
 def test_pipeline_stages(spark):
