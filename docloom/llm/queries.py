@@ -11,11 +11,13 @@ from docloom.llm.mixing import curriculum_plan
 from docloom.llm.ngram_join import ngram_jaccard_groups
 from docloom.llm.pii import personal_data
 from docloom.llm.quality import quality_scores
+from docloom.llm.runs import periodic_runs
 from docloom.llm.sentence_spans import drop_repeated_spans
 from docloom.llm.sketches import edited_fingerprints
 from docloom.llm.tables import table
 from docloom.llm.token_counts import token_counts
 from docloom.llm.topk import nearest_of_table
+from docloom.llm.whitening import whiten
 
 
 def op1_quality_rules(spark, sf_dir):
@@ -61,6 +63,51 @@ def op10_sentence_spans(spark, sf_dir):
     return drop_repeated_spans(docs).select("doc_id", "n_sentences", "n_removed", "first_doc_ids", "text")
 
 
+def with_planted_periods(docs):
+    """``doc_id, text``, where the end of every tenth text (by the CRC of its id)
+    is made to repeat from some word on."""
+    blanks = " \t\n\x0b\x0c\r"
+    crc = F.crc32(F.col("doc_id").cast("string"))
+    words = F.split(F.trim("text", F.lit(blanks)), "[ \t-\r]+")
+    chosen = (crc % 10 == 0) & (F.trim("text", F.lit(blanks)) != "")
+    sized = docs.select("doc_id", "text", F.floor(crc / 10).alias("g"), F.when(chosen, words).alias("words"))
+    n = F.size("words")
+    begin = F.col("g") % n
+    placed = sized.withColumn("a", begin).withColumn("p", 1 + F.expr("(size(words) - a) div (3 + g % 8)"))
+    turned = F.transform(
+        "words",
+        lambda word, i: F.when(i < F.col("a"), word).otherwise(
+            F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))
+        ),
+    )
+    return placed.select(
+        "doc_id", F.when(F.col("words").isNotNull(), F.array_join(turned, " ")).otherwise(F.col("text")).alias("text")
+    )
+
+
+def op11_periodic_runs(spark, sf_dir):
+    found = periodic_runs(with_planted_periods(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    # The first of the greatest length / period: fractions compared as products.
+    best = F.reduce(
+        "runs",
+        F.get("runs", F.lit(0)),
+        lambda best, r: F.when(r["length"] * best["period"] > best["length"] * r["period"], r).otherwise(best),
+    )
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_whitening(spark, sf_dir):
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_fingerprints(spark, sf_dir):
     found = edited_fingerprints(table(spark, sf_dir, "documents"))
     return found.select(
