@@ -144,7 +144,8 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(mix(hashes), start, end, np.searchsorted(start, offsets), offsets)
 
 
-def _sequence(hashes: np.ndarray, size: int) -> np.ndarray:
+def sequence_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every run of ``size`` words, of which there is one at least."""
     count = len(hashes) - size + 1
     rolled = hashes[:count] + np.uint64(size)
     for step in range(1, size):
@@ -155,12 +156,12 @@ def _sequence(hashes: np.ndarray, size: int) -> np.ndarray:
 def shingle_sets(found: Words, size: int) -> Iterator[np.ndarray]:
     """For every text the sorted, distinct hashes of its runs of ``size``
     words; of fewer words the whole sequence as one; of none, nothing."""
-    rolled = _sequence(found.hash, size) if len(found.hash) >= size else None
+    rolled = sequence_hashes(found.hash, size) if len(found.hash) >= size else None
     for begin, end in zip(found.offsets[:-1].tolist(), found.offsets[1:].tolist(), strict=True):
         if end - begin >= size:
             yield np.unique(rolled[begin : end - size + 1])
         elif end > begin:
-            yield _sequence(found.hash[begin:end], end - begin)
+            yield sequence_hashes(found.hash[begin:end], end - begin)
         else:
             yield np.zeros(0, np.uint64)
 

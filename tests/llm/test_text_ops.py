@@ -242,6 +242,65 @@ def test_paraphrases(spark):
     assert len(got & planted) >= 0.9 * len(planted) and got <= planted
 
 
+def _changed(kind, r, text):
+    words = text.split()
+    if kind == "punctuation":
+        return " ".join(w.strip(".") + r.choice([",", ";", " -", ":", "", "!"]) for w in words)
+    if kind == "case":
+        return text.upper()
+    if kind == "dropped":
+        return " ".join(w for w in words if r.random() > 0.2)
+    if kind == "replaced":
+        return " ".join(w if r.random() > 0.2 else f"other{r.randrange(999)}" for w in words)
+    if kind == "inserted":
+        return " ".join(v for w in words for v in ([w, "indeed"] if r.random() < 0.2 else [w]))
+    if kind == "half":
+        return " ".join(words[: len(words) // 2])
+    sentences = text.split(". ")
+    r.shuffle(sentences)
+    return ". ".join(s.rstrip(".") for s in sentences) + "."
+
+
+KINDS = ["punctuation", "case", "dropped", "replaced", "inserted", "half", "reordered"]
+
+
+def test_recall_by_kind_of_change(spark):
+    """Nine of ten items are found in other words of every kind, and no item
+    where there is none."""
+    r = random.Random(11)
+
+    def item(i):
+        words = prose(i, 36).split()
+        return ". ".join(" ".join(words[at : at + 12]) for at in (0, 12, 24)) + "."
+
+    items = [(i, item(i)) for i in range(50)]
+    rows = [
+        (1000 * k + i, f"{prose(7000 + i, 120)} {_changed(kind, r, text)} {prose(9000 + i, 80)}")
+        for k, kind in enumerate(KINDS, 1)
+        for i, text in items
+    ]
+    rows += [(100_000 + i, prose(20_000 + i, 300)) for i in range(300)]
+    rows += [(200_000 + i, f"{prose(i + 500, 90)} {' '.join(text.split()[:8])} {prose(i + 600, 90)}") for i, text in items]
+    found = contaminated(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    )
+    got = {(x["doc_id"], x["item_id"]) for x in found.collect()}
+    planted = {(1000 * k + i, i) for k in range(1, len(KINDS) + 1) for i, _ in items}
+    assert got <= planted
+    for k, kind in enumerate(KINDS, 1):
+        share = sum((1000 * k + i, i) in got for i, _ in items) / len(items)
+        assert share >= 0.9, (kind, share)
+
+
+def test_hits_do_not_depend_on_other_blocks(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"{prose(i, 60)} {prose(900 + i % 7, 30)}") for i in range(40)], "doc_id long, text string")
+    items = spark.createDataFrame([(i, prose(900 + i, 30)) for i in range(20)], "item_id long, text string")
+    whole = {tuple(x)[:2] for x in contaminated(docs, items).collect()}
+    monkeypatch.setattr("docloom.llm.decontaminate.ITEMS", 3)
+    assert {tuple(x)[:2] for x in contaminated(docs, items).collect()} == whole
+    assert whole == {(i, i % 7) for i in range(40)}
+
+
 def test_answer_check_and_blocks(spark, monkeypatch):
     monkeypatch.setattr("docloom.llm.decontaminate.ITEMS", 2)
     text = prose(3, 30)
