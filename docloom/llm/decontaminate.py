@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.arrays import Words, batch_words, mix, sequence_hashes
+from docloom.llm.id_filter import without_ids
 from docloom.llm.tables import saved
 
 FEATURE_BITS = 18
@@ -454,5 +455,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no item; rows without an id stay."""
     leaks = contaminated(docs, benchmark).select("doc_id").distinct()
-    leaks = saved(leaks, "leaking").withColumnRenamed("doc_id", "__leak")
-    return docs.join(leaks, docs["doc_id"].cast("long") == leaks["__leak"], "left_anti")
+    return without_ids(docs, saved(leaks, "leaking"))

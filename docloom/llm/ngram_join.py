@@ -32,13 +32,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.arrays import batch_words, mix, shingle_sets, slices, utf8
 from docloom.llm.arrays import words as text_words
+from docloom.llm.id_filter import filter_bit, id_filter, in_filter
 from docloom.llm.links import components
 from docloom.llm.tables import saved
 
@@ -51,11 +51,7 @@ BUCKET_BITS = 20
 HEAVY = 64
 SALTS = 16
 
-#: Bits of the filter for ids whose texts are asked for: 8 MB at any size.
-FILTER_BITS = 26
-
 _COUNT_BLOCK = 512
-_BITMAP_BYTES = 4096  # of a bucket of Spark's bitmap functions
 _SET_SCHEMA = "doc_id long, n int, set_a long, set_b long, block int, counts binary"
 _ENTRY_SCHEMA = "token long, salt int, cls long, n int, pos int"
 _LIST_SCHEMA = "token long, cls long, n int, pos int, hub long, hub_n int, near boolean"
@@ -227,36 +223,6 @@ def _names(schema: str) -> list[str]:
     return [field.split()[0] for field in schema.split(", ")]
 
 
-def _asked(shared):
-    @F.pandas_udf("boolean")
-    def asked(bit: pd.Series) -> pd.Series:
-        at = bit.to_numpy()
-        return pd.Series((shared.value[at >> 3] >> (at & 7)) & 1 == 1)
-
-    return asked
-
-
-def _bit(doc_id: str) -> Column:
-    return F.pmod(F.xxhash64(doc_id), F.lit(1 << FILTER_BITS))
-
-
-def _id_filter(ids: DataFrame, doc_id: str) -> np.ndarray:
-    """One bit per hash of an id: ``2 ** FILTER_BITS`` of them at any size.
-
-    It lets a pass over the texts leave out most of what is not asked for
-    before anything is shuffled; the joins behind it decide.
-    """
-    bit = _bit(doc_id) + 1  # buckets of Spark's bitmaps begin at 1, 32769, ...
-    maps = ids.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")
-    )
-    found = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
-    for row in maps.collect():
-        begin = (row["bucket"] - 1) * _BITMAP_BYTES
-        found[begin : begin + _BITMAP_BYTES] = np.frombuffer(row["bits"], np.uint8)
-    return found
-
-
 def _sets_of(ids: pa.Array, texts: pa.Array, size: int) -> tuple[list[np.ndarray], np.ndarray]:
     """The sets of some texts, each text read once, and which one each row has."""
     _, first, which = np.unique(ids.to_numpy(), return_index=True, return_inverse=True)
@@ -299,8 +265,8 @@ def _compared(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
     b = classes.select(F.col("cls").alias("b"), F.col("rep").alias("rep_b"))
     named = saved(pairs.join(a, "a").join(b, "b"), f"{label}-named")
     ids = named.select(F.col("rep_a").alias("rep")).unionAll(named.select(F.col("rep_b").alias("rep")))
-    shared = docs.sparkSession.sparkContext.broadcast(_id_filter(ids, "rep"))
-    wanted = docs.where(_asked(shared)(_bit("doc_id")))
+    shared = docs.sparkSession.sparkContext.broadcast(id_filter(ids, "rep"))
+    wanted = docs.where(in_filter(shared)(filter_bit(F.col("doc_id"))))
     a = wanted.select(F.col("doc_id").alias("rep_a"), F.col("text").alias("text_a"))
     b = wanted.select(F.col("doc_id").alias("rep_b"), F.col("text").alias("text_b"))
     return saved(
