@@ -13,6 +13,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from docloom.llm.decontaminate import drop_contaminated
+from docloom.llm.id_filter import without_ids
 from docloom.llm.mixing import curriculum_mix
 from docloom.llm.ngram_join import ngram_jaccard_groups
 from docloom.llm.pii import mask_personal_data
@@ -30,7 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     that repeat an id, one."""
     groups = saved(ngram_jaccard_groups(docs.select("doc_id", "text")), "pipeline-groups")
     dropped = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__dropped")).distinct()
-    kept = docs.join(dropped, docs["doc_id"].cast("long") == dropped["__dropped"], "left_anti")
+    kept = without_ids(docs, saved(dropped, "pipeline-dropped"))
     repeated = groups.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__repeated"))
     repeated = saved(repeated, "pipeline-repeated")
     if repeated.isEmpty():
