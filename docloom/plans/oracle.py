@@ -253,9 +253,12 @@ FROM (SELECT sha256(text) AS h FROM documents)""",
   CASE WHEN {ext} = '.adoc' AND doc_id % 50 <> 7 THEN 'converted' ELSE 'failed' END AS status, count(*) AS n_docs
 FROM adoc_documents GROUP BY 1, 2""",
         "merge_corpus": f"WITH {_MD},\n{_MERGED} SELECT source, part, n_docs, md FROM merged",
-        "merged_chunks": f"""WITH {_MD},\n{_MERGED},
-cleaned AS (SELECT part AS doc_id, source, {_clean('md')} AS md FROM merged),\n{_chunk_lists(fv.MAX_CHUNK_CHARS)}
-SELECT source, doc_id AS part, pos, chunk FROM chunks""",
+        "merged_chunks": f"""WITH {_MD},
+merged AS (SELECT source, string_agg(md, concat(chr(10), chr(10), '---', chr(10), chr(10)) ORDER BY doc_id) AS md
+  FROM md_documents GROUP BY source),
+cleaned AS (SELECT row_number() OVER (ORDER BY source) AS doc_id, source, {_clean('md')} AS md FROM merged),
+{_chunk_lists(fv.MAX_CHUNK_CHARS)}
+SELECT source, CAST(pos AS BIGINT) AS pos, chunk FROM chunks""",
         "last_per_basename": f"""WITH {_view("named", views.NAMED_COLUMNS)},
 ordered AS (SELECT *, regexp_replace(regexp_extract(path, '[^/]*$'), '\\.adoc$', '') AS base_name FROM named),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY base_name ORDER BY path DESC, doc_id DESC) AS rn FROM ordered)

@@ -12,7 +12,7 @@ from docloom.functions.chunking import sections
 from docloom.functions.messages import base_model
 from docloom.functions.text import clean_technical
 from docloom.operators import chunks as ck
-from docloom.operators import compare, convert, corpus, generators, qa
+from docloom.operators import compare, convert, corpus, generators, packing, qa
 from docloom.plans import views
 from docloom.session import work_dir
 from docloom.sources import sinks, tables
@@ -147,9 +147,8 @@ def q_merge_corpus(spark, sf_dir):
 
 
 def q_merged_chunks(spark, sf_dir):
-    """Chunks of the merged parts; these may span documents."""
-    parts = corpus.merge_documents(views.md_documents(spark, sf_dir), "source", "doc_id").drop("n_docs")
-    return ck.chunk_documents(parts)
+    """Chunks of each source's merged text; these may span documents."""
+    return packing.merged_chunks(views.md_documents(spark, sf_dir), "source", "doc_id")
 
 
 def q_last_per_basename(spark, sf_dir):
