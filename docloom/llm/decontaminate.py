@@ -39,7 +39,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.arrays import Words, batch_words, mix, sequence_hashes
+from docloom.llm.arrays import Words, mix, sequence_hashes, slices, utf8
+from docloom.llm.arrays import words as text_words
 from docloom.llm.id_filter import without_ids
 from docloom.llm.tables import saved
 
@@ -61,8 +62,10 @@ RUN = 13
 #: Items read against at a time.
 ITEMS = 4096
 
-#: Passages compared with windows in one product.
+#: Windows and passages compared in one product, and bytes of text read at a time.
+WINDOWS = 1024
 PASSAGES = 4096
+PIECE = 1 << 20
 
 _NO_WORD = r"[^\p{L}\p{M}\p{N}]+"
 _SENTENCE = re.compile(r"(?<=[.!?\u3002])\s+|\n+")
@@ -71,10 +74,13 @@ _SHIFT = np.uint64(64 - FEATURE_BITS)
 
 
 def _plain_words(texts: pa.Array) -> Iterator[tuple[int, int, Words]]:
-    """``first row, last row, words`` of texts without case and punctuation."""
-    plain = pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts, "")), _NO_WORD, " ")
-    for first, last, _, found in batch_words(pa.record_batch([plain], names=["text"])):
-        yield first, last, found
+    """``first row, last row, words`` of texts without case and punctuation,
+    about ``PIECE`` bytes of them at a time."""
+    texts = pc.fill_null(texts, "")
+    for first, last in slices(utf8(texts)[1], PIECE):
+        plain = pc.replace_substring_regex(pc.utf8_lower(texts.slice(first, last - first)), _NO_WORD, " ")
+        yield first, last, text_words(*utf8(plain))
+    pa.default_memory_pool().release_unused()
 
 
 def _feature(hashes: np.ndarray) -> np.ndarray:
@@ -353,8 +359,8 @@ def _found_in(found: Words, items: Items, space: Space) -> Iterator[tuple[int, i
     """``text, item, cosine, common`` of the best window of every pair."""
     windows, text = _windows(found, space)
     best: dict[tuple[int, int], list[tuple[float, int, int]]] = {}
-    for at in range(0, len(windows), 2048):
-        part = windows[at : at + 2048]
+    for at in range(0, len(windows), WINDOWS):
+        part = windows[at : at + WINDOWS]
         latent = _projected(found, part, space)
         for passage in range(0, len(items.latent), PASSAGES):
             cosine = latent @ items.latent[passage : passage + PASSAGES].T
