@@ -69,7 +69,6 @@ MERGE_SEPARATOR = "\n\n---\n\n"
 # --- generation ------------------------------------------------------------
 DOMAIN = "General"
 OUTLINE = ""
-MAX_CONCURRENCY = 10
 REQUEST_TIMEOUT_S = 600
 
 # --- comparison ------------------------------------------------------------

@@ -56,42 +56,7 @@ def running_totals(df: DataFrame, order: Sequence[Column], amounts: Mapping[str,
     )
 
 
-def dense_index(
-    df: DataFrame,
-    order: Sequence[str],
-    name: str = "idx",
-    block_width: int = 4096,
-) -> DataFrame:
-    """Positions 0, 1, 2, ... in the order of ``order``, whose first column is
-    an integer key.
-
-    No window spans the table.  Rows are numbered inside blocks of
-    ``block_width`` key values; the rows before a block are the sum of the
-    counts of earlier blocks, themselves added up block-wise.
-    """
-    key = order[0]
-    earlier = (Window.unboundedPreceding, -1)
-    blocked = df.withColumn("_block", block_of(key, block_width))
-    counts = (
-        blocked.groupBy("_block")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_group", block_of("_block", block_width))
-    )
-    # One row per block_width ** 2 key values (16.8 million by default), so
-    # adding these up takes one small task whatever the size of the table.
-    groups = counts.groupBy("_group").agg(F.sum("_rows").alias("_group_rows"))
-    groups = groups.select(
-        "_group", F.sum("_group_rows").over(Window.orderBy("_group").rowsBetween(*earlier)).alias("_before_group")
-    )
-    in_group = F.sum("_rows").over(Window.partitionBy("_group").orderBy("_block").rowsBetween(*earlier))
-    offsets = (
-        counts.withColumn("_in_group", in_group)
-        .join(groups, "_group")
-        .select("_block", (F.coalesce("_in_group", F.lit(0)) + F.coalesce("_before_group", F.lit(0))).alias("_before"))
-    )
-    in_block = Window.partitionBy("_block").orderBy(*order)
-    return (
-        blocked.join(offsets, "_block")
-        .withColumn(name, F.col("_before") + F.row_number().over(in_block) - 1)
-        .drop("_block", "_before")
-    )
+def dense_index(df: DataFrame, order: Sequence[str], name: str = "idx") -> DataFrame:
+    """Positions 0, 1, 2, ... in the order of ``order``, columns of any type
+    that sorts; no window spans the table, however its keys are spread."""
+    return running_totals(df, [F.col(column) for column in order], {name: F.lit(1)})

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +28,8 @@ def _glob(extensions: Sequence[str], ignore_case: bool) -> str:
 
 
 def _roots(spark: SparkSession, inputs: Sequence[str]) -> dict[str, list[str]]:
-    """The named inputs by kind, each once; what lies below a named folder
-    is read through the folder only."""
+    """The named inputs by kind, each once; a folder below another named one
+    is read through that one only."""
     roots: dict[str, list[str]] = {"file": [], "directory": [], "missing": []}
     for path in dict.fromkeys(qualified(spark, item) for item in inputs):
         roots[path_kind(spark, path)].append(path)
@@ -36,11 +38,34 @@ def _roots(spark: SparkSession, inputs: Sequence[str]) -> dict[str, list[str]]:
     def inside_another(path: str) -> bool:
         return any(path != folder and path.startswith(folder.rstrip("/") + "/") for folder in folders)
 
-    roots["file"] = [path for path in roots["file"] if not inside_another(path)]
     roots["directory"] = [path for path in folders if not inside_another(path)]
     return roots
 
 
+def _left_out(path: str) -> bool:
+    """Whether the file source passes over a file of this name."""
+    name = path.rsplit("/", 1)[-1]
+    return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+
+
+def _read_named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            store, place = pyarrow.fs.FileSystem.from_uri(path)
+            info = store.get_file_info(place)
+            with store.open_input_stream(place) as stream:
+                content = stream.read()
+            yield pa.record_batch(
+                [
+                    pa.array([path]),
+                    pa.array([info.mtime], pa.timestamp("us", "UTC")),
+                    pa.array([len(content)], pa.int64()),
+                    pa.array([content], pa.binary()),
+                ],
+                names=["path", "modificationTime", "length", "content"],
+            )
+
+
 def read_documents(
     spark: SparkSession,
     inputs: Sequence[str],
@@ -51,21 +76,31 @@ def read_documents(
 
     Folders are scanned recursively.  The extension of a file named by the
     caller is compared without case, in folders with case unless
-    ``ignore_case``.  The file source lists large trees in parallel; it leaves
-    out names that start with ``.`` or ``_``.
+    ``ignore_case``.  A named file is always read, and once, whatever folders
+    are named beside it.  The file source lists large trees in parallel; it
+    leaves out names that start with ``.`` or ``_``.  Named files of that kind
+    are read by tasks of our own instead, from any store that Arrow opens; one
+    that it does not open is an error, not a file less.
     """
     roots = _roots(spark, inputs)
     parts = []
+    named = [path for path in roots["file"] if path.lower().endswith(tuple(extensions))]
+    plain = [path for path in named if not _left_out(path)]
     if roots["directory"]:
-        parts.append(
+        in_folders = (
             spark.read.format("binaryFile")
             .option("recursiveFileLookup", True)
             .option("pathGlobFilter", _glob(extensions, ignore_case))
             .load(roots["directory"])
         )
-    named = [path for path in roots["file"] if path.lower().endswith(tuple(extensions))]
-    if named:
-        parts.append(spark.read.format("binaryFile").load(named))
+        parts.append(in_folders.where(~F.col("path").isin(plain)) if plain else in_folders)
+    if plain:
+        parts.append(spark.read.format("binaryFile").load(plain))
+    hidden = [(path,) for path in named if _left_out(path)]
+    if hidden:
+        schema = "path string, modificationTime timestamp, length bigint, content binary"
+        paths = spark.createDataFrame(hidden, "path string").repartition(len(hidden))
+        parts.append(paths.mapInArrow(_read_named, schema))
     if not parts:
         schema = "path string, length bigint, modificationTime timestamp, content binary"
         return spark.createDataFrame([], schema).select("path", "modificationTime", "length", "content")

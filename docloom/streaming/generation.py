@@ -108,14 +108,15 @@ def process_staged(
     run: GenerationRun,
     spark: SparkSession,
     generator: str = "sentences",
-    concurrency: int | None = fv.MAX_CONCURRENCY,
+    concurrency: int | None = None,
     timeout: int = fv.REQUEST_TIMEOUT_S,
     files_per_batch: int = 1,
 ) -> int | None:
     """Run the generator over everything staged and not yet done.
 
     One micro-batch takes ``files_per_batch`` chunk files; on a cluster give
-    it as many as keep every caller busy.  A failing generator ends the call
+    it as many as keep every caller busy.  ``concurrency`` limits the tasks that
+    call at the same time; without it there are as many as Spark runs.  A failing generator ends the call
     with its error; finished micro-batches stay and the failed one is run
     again by the next call.  Returns the number of the last micro-batch, or
     nothing if there was nothing to do.
@@ -191,7 +192,7 @@ def resumable_generation(
     generator: str = "sentences",
     resume: bool = False,
     batch_size: int = fv.BATCH_SIZE,
-    concurrency: int | None = fv.MAX_CONCURRENCY,
+    concurrency: int | None = None,
     timeout: int = fv.REQUEST_TIMEOUT_S,
     files_per_batch: int = 1,
     keep_cot: bool = False,

@@ -76,11 +76,11 @@ def test_source_metadata_has_defaults(spark):
     assert got == {("x", "about", "Net"), ("y", "", "General"), ("z", "", "General")}
 
 
-def test_dense_index_crosses_blocks_and_groups(spark):
+def test_dense_index(spark):
     rng = random.Random(3)
     keys = [(k, p) for k in rng.sample(range(500), 120) + [-3, -9, 10_000] for p in range(rng.randrange(1, 4))]
     frame = spark.createDataFrame(keys, "doc_id long, pos int").repartition(6)
-    got = {(r["doc_id"], r["pos"]): r["idx"] for r in dense_index(frame, ("doc_id", "pos"), block_width=4).collect()}
+    got = {(r["doc_id"], r["pos"]): r["idx"] for r in dense_index(frame, ("doc_id", "pos")).collect()}
     assert got == {key: i for i, key in enumerate(sorted(keys))}
 
 

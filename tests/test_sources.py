@@ -39,6 +39,20 @@ def test_overlapping_inputs_are_read_once(spark, tree):
     assert names(d.read_documents(spark, inputs)) == ["a.adoc", "b.pdf", "bad.adoc", "c.adoc"]
 
 
+def test_named_files_are_kept(spark, tree):
+    """Beside their folder, in upper case, and with names that Spark hides."""
+    (tree / "_part.adoc").write_text("under", encoding="utf-8")
+    inputs = [str(tree), str(tree / "UP.ADOC"), str(tree / "_part.adoc"), str(tree / ".hidden.adoc"), str(tree / "a.adoc")]
+    found = d.read_documents(spark, inputs)
+    assert names(found) == [".hidden.adoc", "UP.ADOC", "_part.adoc", "a.adoc", "b.pdf", "bad.adoc", "c.adoc"]
+    texts = {r["path"].rsplit("/", 1)[1]: r["text"] for r in d.read_texts(spark, inputs).collect()}
+    assert texts["_part.adoc"] == "under" and texts["UP.ADOC"] == "upper"
+    rows = {r["path"].rsplit("/", 1)[1]: r for r in found.collect()}
+    assert rows["_part.adoc"]["length"] == 5 and rows["_part.adoc"]["modificationTime"] is not None
+    got = {r["path"].rsplit("/", 1)[1]: r["status"] for r in d.discovery_report(spark, inputs).collect()}
+    assert got["_part.adoc"] == got["UP.ADOC"] == "supported" and len(got) == 7
+
+
 def test_discovery_report(spark, tree):
     rows = d.discovery_report(spark, [str(tree / "note.txt"), str(tree / "a.adoc"), str(tree / "absent"), str(tree / "deep")])
     got = sorted((r["path"].rsplit("/", 1)[1], r["status"]) for r in rows.collect())
