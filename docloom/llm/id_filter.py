@@ -2,45 +2,39 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bits of a filter: 8 MB at any size.
-FILTER_BITS = 26
-
-_BITMAP_BYTES = 4096  # of a bucket of Spark's bitmap functions
-
+from docloom.llm.tables import saved
 
-def in_filter(shared):
-    @F.pandas_udf("boolean")
-    def asked(bit: pd.Series) -> pd.Series:
-        at = bit.to_numpy()
-        return pd.Series((shared.value[at >> 3] >> (at & 7)) & 1 == 1)
-
-    return asked
+#: Bits of a filter: 8 MB at any size, in rows of 4 KB.
+FILTER_BITS = 26
 
 
-def filter_bit(doc_id: Column) -> Column:
-    return F.pmod(F.xxhash64(doc_id.cast("long")), F.lit(1 << FILTER_BITS))
+def _bit(doc_id: Column) -> Column:
+    # Buckets of Spark's bitmaps begin at 1, 32769, ...
+    return F.pmod(F.xxhash64(doc_id.cast("long")), F.lit(1 << FILTER_BITS)) + 1
 
 
-def id_filter(ids: DataFrame, doc_id: str) -> np.ndarray:
-    """One bit per hash of an id: ``2 ** FILTER_BITS`` of them at any size.
+def marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs(doc_id, ...)`` with ``__hit``: whether a hash of the id is one of
+    those in the one column of ``ids``, which holds for all of them and few others.
 
-    It lets a pass over the texts leave out most of what is not asked for
-    before anything is shuffled; the joins behind it decide.
+    The bitmap, one bit per hash, has ``2 ** FILTER_BITS`` bits at most however
+    many ids there are, which is what makes it fit to be broadcast.  It lets a
+    pass over the texts leave out most of what is not asked for before anything
+    is shuffled; the joins behind it decide.
     """
-    bit = filter_bit(F.col(doc_id)) + 1  # buckets of Spark's bitmaps begin at 1, 32769, ...
-    maps = ids.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")
+    bit = _bit(F.col(ids.columns[0]))
+    maps = ids.groupBy(F.bitmap_bucket_number(bit).alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("__bits")
     )
-    found = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
-    for row in maps.collect():
-        begin = (row["bucket"] - 1) * _BITMAP_BYTES
-        found[begin : begin + _BITMAP_BYTES] = np.frombuffer(row["bits"], np.uint8)
-    return found
+    bit = _bit(F.col("doc_id"))
+    placed = docs.select("*", F.bitmap_bucket_number(bit).alias("__bucket"), F.bitmap_bit_position(bit).alias("__at"))
+    found = placed.join(F.broadcast(saved(maps, "id-filter")), "__bucket", "left")
+    byte = F.conv(F.hex(F.expr("substring(__bits, cast(__at div 8 as int) + 1, 1)")), 16, 10).cast("long")
+    hit = F.coalesce(F.getbit(byte, (F.col("__at") % 8).cast("int")) == 1, F.lit(False))
+    return found.select(*[F.col(f"`{name}`") for name in docs.columns], hit.alias("__hit"))
 
 
 def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
@@ -51,9 +45,7 @@ def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
     the others, few more than go, meet the ids in a join.  Rows without an id
     stay.
     """
-    name = gone.columns[0]
-    shared = docs.sparkSession.sparkContext.broadcast(id_filter(gone, name))
-    hit = in_filter(shared)(filter_bit(F.col("doc_id")))
-    named = gone.select(F.col(name).cast("long").alias("__gone"))
-    doubtful = docs.where(hit).join(named, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
-    return docs.where(~hit).unionByName(doubtful)
+    found = marked(docs, gone)
+    named = gone.select(F.col(gone.columns[0]).cast("long").alias("__gone"))
+    doubtful = found.where("__hit").join(named, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    return found.where("NOT __hit").unionByName(doubtful).drop("__hit")

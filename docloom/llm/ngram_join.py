@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from docloom.llm.arrays import batch_words, mix, shingle_sets, slices, utf8
 from docloom.llm.arrays import words as text_words
-from docloom.llm.id_filter import filter_bit, id_filter, in_filter
+from docloom.llm.id_filter import marked
 from docloom.llm.links import components
 from docloom.llm.tables import saved
 
@@ -265,8 +265,7 @@ def _compared(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
     b = classes.select(F.col("cls").alias("b"), F.col("rep").alias("rep_b"))
     named = saved(pairs.join(a, "a").join(b, "b"), f"{label}-named")
     ids = named.select(F.col("rep_a").alias("rep")).unionAll(named.select(F.col("rep_b").alias("rep")))
-    shared = docs.sparkSession.sparkContext.broadcast(id_filter(ids, "rep"))
-    wanted = docs.where(in_filter(shared)(filter_bit(F.col("doc_id"))))
+    wanted = marked(docs, ids).where("__hit")
     a = wanted.select(F.col("doc_id").alias("rep_a"), F.col("text").alias("text_a"))
     b = wanted.select(F.col("doc_id").alias("rep_b"), F.col("text").alias("text_b"))
     return saved(
