@@ -249,6 +249,10 @@ FROM (SELECT sha256(text) AS h FROM documents)""",
         "decode_documents": f"""WITH {_ADOC} SELECT doc_id,
   CASE WHEN doc_id % 50 <> 7 THEN {text_with_crlf} END AS text,
   CASE WHEN doc_id % 50 = 7 THEN 'not valid UTF-8' END AS error FROM adoc_documents""",
+        "discover_documents": f"""WITH {_ADOC}, tree AS (SELECT {views.TREE_PATH}, text,
+  doc_id % 6 = 2 OR doc_id % 5 = 1 AS hidden, doc_id % 10 IN (7, 9) AS other FROM adoc_documents)
+SELECT path, CASE WHEN hidden THEN 'hidden' WHEN other THEN 'unsupported' ELSE 'supported' END AS status,
+  octet_length(encode(text)) AS length, CASE WHEN NOT hidden AND NOT other THEN sha256(text) END AS content_sha256 FROM tree""",
         "conversion_report": f"""WITH {_ADOC} SELECT {ext} AS ext,
   CASE WHEN {ext} = '.adoc' AND doc_id % 50 <> 7 THEN 'converted' ELSE 'failed' END AS status, count(*) AS n_docs
 FROM adoc_documents GROUP BY 1, 2""",

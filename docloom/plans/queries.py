@@ -14,8 +14,8 @@ from docloom.functions.text import clean_technical
 from docloom.operators import chunks as ck
 from docloom.operators import compare, convert, corpus, generators, packing, qa
 from docloom.plans import views
-from docloom.session import work_dir
-from docloom.sources import sinks, tables
+from docloom.session import qualified, work_dir
+from docloom.sources import documents, sinks, tables
 from docloom.streaming import generation
 
 OUTLINE = "Reference manual"
@@ -76,9 +76,9 @@ def q_dedup_chunks(spark, sf_dir):
 
 def q_source_metadata(spark, sf_dir):
     """Outline and domain looked up per source."""
-    documents = views.table(spark, sf_dir, "documents")
+    docs = views.table(spark, sf_dir, "documents")
     metadata = (
-        documents.where("source <> 'src7'").groupBy("source")
+        docs.where("source <> 'src7'").groupBy("source")
         .agg(F.concat(F.lit("About "), F.col("source")).alias("document_outline"), F.min("lang").alias("domain"))
     )
     joined = ck.with_source_metadata(_chunks(spark, sf_dir).select("doc_id", "source", "pos", "chunk"), metadata)
@@ -138,6 +138,19 @@ def q_decode_documents(spark, sf_dir):
     return convert.decode_documents(_files(spark, sf_dir)).select("doc_id", "text", "error")
 
 
+def q_discover_documents(spark, sf_dir):
+    """The documents as a tree of files, some with names that start with ``_``
+    or ``.``, some in such folders: what is found of each, and what is read."""
+    base = work_dir(spark, "tree")
+    files = views.adoc_documents(spark, sf_dir).selectExpr(views.TREE_PATH, "encode(text, 'UTF-8') AS content")
+    sinks.write_files(files, base)
+    found = documents.discover_documents(spark, [base])
+    read = documents.read_files(found.where("status = 'supported'"))
+    digests = read.select("path", F.sha2("content", 256).alias("content_sha256"))
+    relative = F.expr(f"substr(path, {len(qualified(spark, base)) + 2})")
+    return found.join(digests, "path", "left").select(relative.alias("path"), "status", "length", "content_sha256")
+
+
 def q_conversion_report(spark, sf_dir):
     return convert.conversion_report(convert.convert_documents(_files(spark, sf_dir)))
 

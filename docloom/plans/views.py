@@ -33,6 +33,11 @@ ADOC_COLUMNS = (
     'include::modules/x.adoc[leveloffset=+1]', chr(10), 'ifdef::foo[]', chr(10), 'Kept {unknown} {op-system-base} {kebab}', chr(10), 'endif::[]', chr(10), text) AS text""",
 )
 
+# Files with names and folders that a file scan would pass over.
+TREE_PATH = """concat(CASE doc_id % 6 WHEN 1 THEN '_part/' WHEN 2 THEN '.git/' ELSE 'docs/' END, CAST(doc_id % 13 AS STRING), '/',
+    CASE doc_id % 5 WHEN 0 THEN '_' WHEN 1 THEN '.' WHEN 2 THEN 'a #%20 ' ELSE '' END, 'd', CAST(doc_id AS STRING),
+    CASE WHEN doc_id % 10 = 9 THEN '.txt' WHEN doc_id % 10 = 8 THEN '.pdf' WHEN doc_id % 10 = 7 THEN '.ADOC' ELSE '.adoc' END) AS path"""
+
 # Lists, listings and links behind the text, for the markup conversion.
 ADOC_MARKUP_COLUMNS = (
     "doc_id",

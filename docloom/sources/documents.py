@@ -2,29 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import pyarrow as pa
-import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom import fixed_values as fv
-from docloom.functions.paths import extension, is_supported
+from docloom.functions.paths import extension, raw_extension
 from docloom.operators.convert import Converter, convert_by_hook, convert_native, decode_documents
-from docloom.session import path_kind, qualified
+from docloom.session import path_kind, qualified, work_dir
+from docloom.sources import stores
 
-_FILE_COLUMNS = ("path", "length", "modificationTime", "content")
-
-
-def _glob(extensions: Sequence[str], ignore_case: bool) -> str:
-    def pattern(ext: str) -> str:
-        letters = ext.lstrip(".")
-        if not ignore_case:
-            return letters
-        return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in letters)
-
-    return "*.{" + ",".join(pattern(ext) for ext in extensions) + "}"
+#: Bytes of files that a task reads, about.
+READ_BYTES = 64 * 1024 * 1024
 
 
 def _roots(spark: SparkSession, inputs: Sequence[str]) -> dict[str, list[str]]:
@@ -42,28 +32,74 @@ def _roots(spark: SparkSession, inputs: Sequence[str]) -> dict[str, list[str]]:
     return roots
 
 
-def _left_out(path: str) -> bool:
-    """Whether the file source passes over a file of this name."""
-    name = path.rsplit("/", 1)[-1]
-    return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+def list_trees(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+    """``path, kind, modificationTime, length, hidden`` of all that lies below
+    the folders, as a written table.
 
-
-def _read_named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for path in batch.column("path").to_pylist():
-            store, place = pyarrow.fs.FileSystem.from_uri(path)
-            info = store.get_file_info(place)
-            with store.open_input_stream(place) as stream:
-                content = stream.read()
-            yield pa.record_batch(
-                [
-                    pa.array([path]),
-                    pa.array([info.mtime], pa.timestamp("us", "UTC")),
-                    pa.array([len(content)], pa.int64()),
-                    pa.array([content], pa.binary()),
-                ],
-                names=["path", "modificationTime", "length", "content"],
-            )
+    Each level of the trees is listed by tasks from the table of the level
+    above it; no list of files goes through the driver.  One folder is listed
+    by one task.  Names that start with ``.`` are ``hidden``, and so is all
+    below such a folder.
+    """
+    base = work_dir(spark, "listing")
+    level = spark.createDataFrame([(path, False) for path in folders], "path string, hidden boolean")
+    waiting, depth = len(folders), 0
+    while waiting:
+        tasks = min(waiting, 2 * spark.sparkContext.defaultParallelism)
+        place = f"{base}/level={depth}"
+        level.repartition(tasks, "path").mapInArrow(stores.list_folders, stores.ENTRY).write.parquet(place)
+        level = spark.read.schema(stores.ENTRY).parquet(place).where("kind = 'folder'").select("path", "hidden")
+        waiting, depth = level.count(), depth + 1
+    if depth == 0:
+        return spark.createDataFrame([], stores.ENTRY)
+    return spark.read.schema(stores.ENTRY).option("basePath", base).parquet(base).drop("level")
+
+
+def discover_documents(
+    spark: SparkSession,
+    inputs: Sequence[str],
+    extensions: Sequence[str] = fv.SUPPORTED_EXTENSIONS,
+    ignore_case: bool = False,
+) -> DataFrame:
+    """``path, status, modificationTime, length`` of every file named or found
+    below a named folder, each once.
+
+    ``supported`` files are those that :func:`read_documents` reads.  The
+    extension of a named file is compared without case and its name may start
+    with anything; in folders the case counts unless ``ignore_case``, and names
+    that start with ``.`` are ``hidden``.  Other files are ``unsupported``,
+    named inputs that do not exist ``missing``; links to nowhere are no files.
+    Inputs named twice, or below another named folder, count once.
+    """
+    roots = _roots(spark, inputs)
+    named = spark.createDataFrame([(path, False) for path in roots["file"]], "path string, hidden boolean")
+    in_folders = list_trees(spark, roots["directory"]).where("kind IN ('file', 'other')")
+    ext = raw_extension(F.col("path"))
+    fits = (F.lower(ext) if ignore_case else ext).isin(*extensions)
+    fits = (F.col("kind") == "file") & fits
+    status = F.when(F.col("hidden"), "hidden").when(fits, "supported").otherwise("unsupported")
+    found = in_folders.select("path", status.alias("status"), "modificationTime", "length")
+    of_named = named.mapInArrow(stores.describe, stores.ENTRY)
+    named_status = F.when(extension(F.col("path")).isin(*extensions), "supported").otherwise("unsupported")
+    named_rows = of_named.select("path", named_status.alias("status"), "modificationTime", "length")
+    absent = spark.createDataFrame([(path, "missing", None, None) for path in roots["missing"]], found.schema)
+    return found.join(named, "path", "left_anti").unionByName(named_rows).unionByName(absent)
+
+
+def read_files(listed: DataFrame) -> DataFrame:
+    """``path, modificationTime, length, content`` of the files in
+    ``listed(path, modificationTime, length)``, dealt out to tasks by their
+    size; one file is read whole by one task."""
+    spark = listed.sparkSession
+    total = listed.agg(F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("files")).first()
+    wanted = max(spark.sparkContext.defaultParallelism, -(-(total["bytes"] or 0) // READ_BYTES))
+    tasks = max(1, min(total["files"], wanted))
+    dealt = listed.select("path", "modificationTime").repartition(tasks, "path")
+    return dealt.mapInArrow(stores.read_contents, stores.CONTENT)
+
+
+def _supported(spark, inputs, extensions, ignore_case) -> DataFrame:
+    return discover_documents(spark, inputs, extensions, ignore_case).where("status = 'supported'")
 
 
 def read_documents(
@@ -72,53 +108,18 @@ def read_documents(
     extensions: Sequence[str] = fv.SUPPORTED_EXTENSIONS,
     ignore_case: bool = False,
 ) -> DataFrame:
-    """``path, length, modificationTime, content`` of every supported document.
-
-    Folders are scanned recursively.  The extension of a file named by the
-    caller is compared without case, in folders with case unless
-    ``ignore_case``.  A named file is always read, and once, whatever folders
-    are named beside it.  The file source lists large trees in parallel; it
-    leaves out names that start with ``.`` or ``_``.  Named files of that kind
-    are read by tasks of our own instead, from any store that Arrow opens; one
-    that it does not open is an error, not a file less.
+    """``path, modificationTime, length, content`` of every document that
+    :func:`discover_documents` finds supported.
+
+    The listing is made when this is called, the contents are read by what is
+    done with the result.  A store that Arrow does not open is an error.
     """
-    roots = _roots(spark, inputs)
-    parts = []
-    named = [path for path in roots["file"] if path.lower().endswith(tuple(extensions))]
-    plain = [path for path in named if not _left_out(path)]
-    if roots["directory"]:
-        in_folders = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", _glob(extensions, ignore_case))
-            .load(roots["directory"])
-        )
-        parts.append(in_folders.where(~F.col("path").isin(plain)) if plain else in_folders)
-    if plain:
-        parts.append(spark.read.format("binaryFile").load(plain))
-    hidden = [(path,) for path in named if _left_out(path)]
-    if hidden:
-        schema = "path string, modificationTime timestamp, length bigint, content binary"
-        paths = spark.createDataFrame(hidden, "path string").repartition(len(hidden))
-        parts.append(paths.mapInArrow(_read_named, schema))
-    if not parts:
-        schema = "path string, length bigint, modificationTime timestamp, content binary"
-        return spark.createDataFrame([], schema).select("path", "modificationTime", "length", "content")
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    return found.where(extension(F.col("path")).isin(*extensions))
+    return read_files(_supported(spark, inputs, extensions, ignore_case))
 
 
 def discovery_report(spark: SparkSession, inputs: Sequence[str], ignore_case: bool = False) -> DataFrame:
-    """``path, status`` for supported documents and for every named input that
-    is not one.  ``content`` is never read for it."""
-    roots = _roots(spark, inputs)
-    found = read_documents(spark, inputs, ignore_case=ignore_case).select("path", F.lit("supported").alias("status"))
-    not_found = [(path, "missing") for path in roots["missing"]]
-    named = spark.createDataFrame([(path, None) for path in roots["file"]] + not_found, "path string, status string")
-    skipped = named.where(F.col("status").isNotNull() | ~is_supported(extension(F.col("path"))))
-    return found.unionByName(skipped.select("path", F.coalesce("status", F.lit("unsupported")).alias("status")))
+    """``path, status``: what is read, and what is not and why."""
+    return discover_documents(spark, inputs, ignore_case=ignore_case).select("path", "status")
 
 
 def convert_tree(
@@ -135,12 +136,14 @@ def convert_tree(
     apart by their extension, so every file is read once.
     """
     converters = dict(converters or {})
+    native = tuple(ext for ext in fv.SUPPORTED_EXTENSIONS if ext not in converters)
+    listed = _supported(spark, inputs, (*native, *converters), ignore_case)
+    if done is not None:
+        listed = listed.join(done.select("path"), "path", "left_anti")
 
     def files(extensions: tuple[str, ...]) -> DataFrame:
-        found = read_documents(spark, inputs, extensions, ignore_case)
-        return found if done is None else found.join(done.select("path"), "path", "left_anti")
+        return read_files(listed.where(extension(F.col("path")).isin(*extensions)))
 
-    native = tuple(ext for ext in fv.SUPPORTED_EXTENSIONS if ext not in converters)
     converted = convert_native(files(native)) if native else None
     if not converters:
         return converted
@@ -159,7 +162,7 @@ def list_files(
     would see the same again."""
     names = {ext: f"{f.__module__}.{getattr(f, '__qualname__', type(f).__qualname__)}" for ext, f in (converters or {}).items()}
     extensions = tuple(dict.fromkeys([*fv.SUPPORTED_EXTENSIONS, *names]))
-    found = read_documents(spark, inputs, extensions, ignore_case)
+    found = _supported(spark, inputs, extensions, ignore_case)
     name = F.lit("native")
     for ext, converter in names.items():
         name = F.when(extension(F.col("path")) == ext, F.lit(converter)).otherwise(name)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from docloom import fixed_values as fv
 from docloom.operators.qa import chat_rows, require_columns, strip_traces, valid_qa
-from docloom.session import path_exists, replace_path
+from docloom.session import path_exists, qualified, replace_path
+from docloom.sources.stores import write_contents
 
 
 def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -123,3 +124,13 @@ def write_documents(docs: DataFrame, path: str, partition_by: tuple[str, ...] =
     """One row per document instead of one file per document."""
     writer = docs.write.mode(mode)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+
+
+def write_files(docs: DataFrame, path: str) -> int:
+    """One file per row of ``docs(path, content)``, at its ``path`` below the
+    folder ``path``; returns their number.  Paths must be distinct; a text is
+    written as ``encode(text, 'UTF-8')``."""
+    spark = docs.sparkSession
+    written = docs.select("path", F.col("content").cast("binary").alias("content"))
+    written = written.mapInArrow(write_contents(qualified(spark, path)), "path string, length bigint")
+    return written.count()

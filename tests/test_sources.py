@@ -50,7 +50,47 @@ def test_named_files_are_kept(spark, tree):
     rows = {r["path"].rsplit("/", 1)[1]: r for r in found.collect()}
     assert rows["_part.adoc"]["length"] == 5 and rows["_part.adoc"]["modificationTime"] is not None
     got = {r["path"].rsplit("/", 1)[1]: r["status"] for r in d.discovery_report(spark, inputs).collect()}
-    assert got["_part.adoc"] == got["UP.ADOC"] == "supported" and len(got) == 7
+    assert got["_part.adoc"] == got["UP.ADOC"] == got[".hidden.adoc"] == "supported"
+    assert got["note.txt"] == "unsupported" and len(got) == 8
+
+
+def test_every_file_of_a_tree_is_told(spark, tmp_path):
+    """Names Spark passes over, names that are no URI, links and loops."""
+    for folder in ("_under", ".git", "plain", "a b#c%20"):
+        (tmp_path / folder / "in").mkdir(parents=True)
+        for name in ("x.adoc", "_x.adoc", ".x.adoc", "x=y.adoc", "n.txt", "x.Adoc"):
+            (tmp_path / folder / "in" / name).write_text(f"{folder}/{name}", encoding="utf-8")
+    (tmp_path / "plain" / "up").symlink_to(tmp_path / "plain")
+    (tmp_path / "plain" / "side").symlink_to(tmp_path / "_under" / "in")
+    (tmp_path / "plain" / "gone.adoc").symlink_to(tmp_path / "nowhere")
+    rows = d.discover_documents(spark, [str(tmp_path)]).collect()
+    assert len({r["path"] for r in rows}) == len(rows)
+    got = {r["path"].split(tmp_path.name + "/", 1)[1]: r["status"] for r in rows}
+    folders = ["_under/in", "plain/in", "plain/side", "a b#c%20/in"]
+    expected = {f".git/in/{n}": "hidden" for n in ("x.adoc", "_x.adoc", ".x.adoc", "x=y.adoc", "n.txt", "x.Adoc")}
+    for folder in folders:
+        expected |= {f"{folder}/{n}": "supported" for n in ("x.adoc", "_x.adoc", "x=y.adoc")}
+        expected |= {f"{folder}/.x.adoc": "hidden", f"{folder}/n.txt": "unsupported", f"{folder}/x.Adoc": "unsupported"}
+    assert got == expected
+    texts = {r["path"].split(tmp_path.name + "/", 1)[1]: r["text"] for r in d.read_texts(spark, [str(tmp_path)]).collect()}
+    assert set(texts) == {path for path, status in expected.items() if status == "supported"}
+    assert texts["a b#c%20/in/_x.adoc"] == "a b#c%20/_x.adoc" and texts["plain/side/x.adoc"] == "_under/x.adoc"
+
+
+def test_read_and_listed_files_are_the_same(spark, tree):
+    listed = d.list_files(spark, [str(tree)]).collect()
+    read = {r["path"]: r for r in d.read_documents(spark, [str(tree)]).collect()}
+    assert {r["path"] for r in listed} == set(read)
+    for row in listed:
+        assert (row["length"], row["modified"]) == (read[row["path"]]["length"], read[row["path"]]["modificationTime"])
+
+
+def test_files_are_written_one_by_one(spark, tmp_path):
+    docs = spark.createDataFrame([("a/b.md", bytearray(b"x")), ("_c.md", None)], "path string, content binary")
+    assert sinks.write_files(docs, str(tmp_path / "w")) == 2
+    assert (tmp_path / "w" / "a" / "b.md").read_bytes() == b"x" and (tmp_path / "w" / "_c.md").read_bytes() == b""
+    with pytest.raises(Exception, match="leads out"):
+        sinks.write_files(spark.createDataFrame([("../x", bytearray(b"x"))], docs.schema), str(tmp_path / "w"))
 
 
 def test_discovery_report(spark, tree):
