@@ -116,24 +116,38 @@ def clean_asciidoc(text: Column, entries: Column | None = None) -> Column:
 
 # --- markup ----------------------------------------------------------------
 
-_LISTING = line_mode(r"^-{4,}[ \t]*$")
+# A block opens at the first line of marks and closes at one of the same length;
+# what lies between is no markup.  A listing that is never closed reaches to the
+# end, other marks without a partner are text.
+_BLOCK = line_mode(
+    r"^(?:(-{4,})[ \t]*$(?s:.*?)(?:^\1[ \t]*$|\z)|(\.{4,}|/{4,}|\|={3,})[ \t]*$(?s:.*?)^\2[ \t]*$)"
+)
+# The attributes right in front of a table; the groups are its columns.
+_TABLE_LINE = line_mode(r"^\[[^\[\]\n]*\]\n\z")
+_COLUMNS = r'cols="([^"]*)"'
+_REPEATED = r"^([0-9]{1,3})\*$"
 # A source line right in front of a listing; the group is its language.
 _SOURCE_LINE = line_mode(r"^\[source,[ \t]*([A-Za-z0-9_+#-]+)[^\]\n]*\]\n\z")
+_IMAGE = r"^image::([^\s\[\]]+)\[([^\],\n]*)[^\]\n]*\][ \t]*$"
+_XREF_FILE = r"xref:([^\s\[\]]*[.#][^\s\[\]]*)\[([^\]\n]+)\]"
+_XREF = r"xref:([^\s\[\]]+)\[([^\]\n]+)\]"
+_NAMED_ANCHOR = r"<<([^\s<>,]+),[ ]*([^<>\n]+)>>"
+_ANCHOR = r"<<([^\s<>,]+)>>"
 _LINK = r"link:([^\s\[\]]+)\[([^\]\n]+)\]"
 _BARE_LINK = r"link:([^\s\[\]]+)\[\]"
 _URL = r"(?<![\w:])(https?://[^\s\[\]<>]+)\[([^\]\n]+)\]"
 _BARE_URL = r"(?<![\w:])(https?://[^\s\[\]<>]+)\[\]"
 
 
-def _leading(line: Column, mark: str, most: int) -> Column:
-    """Length of the run of ``mark`` in front of a blank, else 0."""
-    return F.length(F.regexp_extract(line, rf"^({mark}{{1,{most}}}) ", 1))
+def _leading(line: Column, marks: str) -> Column:
+    """Length of the run of ``marks`` in front of a blank, else 0."""
+    return F.length(F.regexp_extract(line, f"^({marks}) ", 1))
 
 
 def _list_item(line: Column, mark: str, indent: str, bullet: str) -> Column:
     text = F.regexp_replace(line, rf"^{mark}+ +", "")
     return bind(
-        _leading(line, mark, 5),
+        _leading(line, f"{mark}+"),
         lambda level: F.when(level == 0, line).otherwise(
             F.concat(F.repeat(F.lit(indent), level - 1), F.lit(bullet), text)
         ),
@@ -142,7 +156,7 @@ def _list_item(line: Column, mark: str, indent: str, bullet: str) -> Column:
 
 def _title(line: Column) -> Column:
     return bind(
-        _leading(line, "=", 6),
+        _leading(line, "={1,6}"),
         lambda level: F.concat(F.repeat(F.lit("#"), level), F.substr(line, level + 1)),
     )
 
@@ -154,6 +168,24 @@ def _links(line: Column) -> Column:
     return F.regexp_replace(line, _BARE_URL, "<$1>")
 
 
+def _references(line: Column) -> Column:
+    line = F.regexp_replace(line, _XREF_FILE, "[$2]($1)")
+    line = F.regexp_replace(line, _XREF, "[$2](#$1)")
+    line = F.regexp_replace(line, _NAMED_ANCHOR, "[$2](#$1)")
+    return F.regexp_replace(line, _ANCHOR, "[$1](#$1)")
+
+
+def _inline(line: Column) -> Column:
+    """References and links; one pattern runs only where its literal is."""
+    refers = F.contains(line, F.lit("xref:")) | F.contains(line, F.lit("<<"))
+    linked = F.contains(line, F.lit("link:")) | F.contains(line, F.lit("://"))
+
+    def links(text: Column) -> Column:
+        return F.when(linked, _links(text)).otherwise(text)
+
+    return F.when(refers, bind(_references(line), links)).otherwise(links(line))
+
+
 def _prose_line(line: Column) -> Column:
     def starts(mark: str) -> Column:
         return F.startswith(line, F.lit(mark))
@@ -162,10 +194,13 @@ def _prose_line(line: Column) -> Column:
         F.when(starts("="), _title(line))
         .when(starts("*"), _list_item(line, r"\*", "  ", "- "))
         .when(starts("."), _list_item(line, r"\.", "   ", "1. "))
+        .when(starts("image::"), F.regexp_replace(line, _IMAGE, "![$2]($1)"))
         .otherwise(line)
     )
-    linked = F.contains(line, F.lit("link:")) | F.contains(line, F.lit("://"))
-    return F.when(linked, _links(marked)).otherwise(marked)
+    has_inline = F.lit(False)
+    for literal in ("link:", "://", "xref:", "<<"):
+        has_inline = has_inline | F.contains(line, F.lit(literal))
+    return F.when(has_inline & ~starts("image::"), bind(marked, _inline)).otherwise(marked)
 
 
 def _prose_to_markdown(text: Column) -> Column:
@@ -173,31 +208,93 @@ def _prose_to_markdown(text: Column) -> Column:
 
 
 def _listing_to_fence(language: Column, body: Column) -> Column:
+    """The fence is longer than any run of its mark in the listing."""
     closed = F.when(F.endswith(body, F.lit("\n")), body).otherwise(F.concat(body, F.lit("\n")))
-    return F.concat(F.lit("```"), language, closed, F.lit("```"))
+    runs = F.transform(F.regexp_extract_all(body, F.lit("(`{3,})"), F.lit(1)), F.length)
+    marks = F.repeat(F.lit("`"), F.coalesce(F.array_max(runs) + 1, F.lit(3)))
+    return bind(marks, lambda fence: F.concat(fence, language, closed, fence))
+
+
+def _column_count(attributes: Column, body: Column) -> Column:
+    """As the attributes tell, else the cells of the first line with any."""
+    told = F.regexp_extract(attributes, _COLUMNS, 1)
+    repeated = F.regexp_extract(told, _REPEATED, 1)
+    first = F.regexp_extract(body, r"([^\n]*\|[^\n]*)", 1)
+    return F.greatest(
+        F.when(repeated != "", repeated.cast("int"))
+        .when(told != "", F.size(F.split(told, ",")))
+        .otherwise(F.size(F.split(first, r"\|")) - 1),
+        F.lit(1),
+    )
+
+
+def _table(attributes: Column, block: Column) -> Column:
+    """Cells in rows; the first row is the head, which Markdown asks for.  An
+    escaped bar stays one.  A table without cells stays as it is."""
+    kept = F.replace(block, F.lit("\\|"), F.lit("\x01"))
+    inside = F.regexp_replace(kept, r"\A\|=+[ \t]*|\|=+[ \t]*\z", "")
+
+    def cell(text: Column) -> Column:
+        flat = F.regexp_replace(F.trim(text, F.lit(" \t\n")), r"[ \t]*\n\s*", " ")
+        return F.replace(bind(flat, _inline), F.lit("\x01"), F.lit("\\|"))
+
+    def rows(parts: Column, width: Column) -> Column:
+        cells = F.transform(F.slice(parts, 2, F.size(parts) - 1), cell)
+
+        def lines(done: Column) -> Column:
+            starts = F.sequence(F.lit(1), F.size(done), width)
+            listed = F.transform(
+                starts, lambda i: F.concat(F.lit("| "), F.array_join(F.slice(done, i, width), " | "), F.lit(" |"))
+            )
+            rule = F.concat(F.lit("|"), F.repeat(F.lit(" --- |"), width))
+            return bind(
+                listed,
+                lambda all_rows: F.array_join(
+                    F.concat(F.slice(all_rows, 1, 1), F.array(rule), F.slice(all_rows, 2, F.size(all_rows))), "\n"
+                ),
+            )
+
+        return F.when(F.size(parts) > 1, bind(cells, lines)).otherwise(block)
+
+    return bind(
+        inside, lambda body: bind(_column_count(attributes, body), lambda width: bind(F.split(body, r"\|"), lambda parts: rows(parts, width)))
+    )
 
 
 def asciidoc_to_markdown(text: Column) -> Column:
     """A documented subset, applied to cleaned AsciiDoc.
 
-    Titles of level 0 to 5, nested ``*`` and ``.`` lists, ``----`` listings
-    with an optional ``[source,lang]`` line, ``link:`` and URL macros.  All
-    other markup is passed through.  Listings are left verbatim; one that is
-    never closed reaches to the end of the document.
+    Titles of level 0 to 5, ``*`` and ``.`` lists of any depth, ``----``
+    listings with an optional ``[source,lang]`` line and ``....`` literals as
+    fences, ``|===`` tables as rows of cells, ``image::`` lines, ``link:``,
+    ``xref:``, ``<<anchor>>`` and URL macros; ``////`` comments go.  All other
+    markup is passed through.  Blocks close only with their own marks, of their
+    own length, and are left verbatim but for tables; a listing that is never
+    closed reaches to the end of the document.
     """
-    def listings(parts: Column) -> Column:
-        def part_done(part: Column, i: Column) -> Column:
-            before_listing = i + 1 < F.size(parts)
-            prose = F.when(before_listing, F.regexp_replace(part, _SOURCE_LINE, "")).otherwise(part)
-            # Only evaluated for a listing, which always has prose before it.
-            language = F.regexp_extract(F.get(parts, i - 1), _SOURCE_LINE, 1)
-            return F.when(i % 2 == 0, _prose_to_markdown(prose)).otherwise(_listing_to_fence(language, part))
 
-        return F.array_join(F.transform(parts, part_done), "")
+    def piece(prose: Column, block: Column) -> Column:
+        listing = F.startswith(block, F.lit("-")) | F.startswith(block, F.lit("."))
+        table = F.startswith(block, F.lit("|"))
+        body = F.regexp_replace(block, line_mode(r"\A([-.])\1*[ \t]*$|^([-.])\2{3,}[ \t]*\z"), "")
+        before = (
+            F.when(listing, F.regexp_replace(prose, _SOURCE_LINE, ""))
+            .when(table, F.regexp_replace(prose, _TABLE_LINE, ""))
+            .otherwise(prose)
+        )
+        shown = (
+            F.when(listing, _listing_to_fence(F.regexp_extract(prose, _SOURCE_LINE, 1), body))
+            .when(table, _table(F.regexp_extract(prose, _TABLE_LINE, 0), block))
+            .otherwise("")
+        )
+        return F.concat(bind(before, _prose_to_markdown), shown)
 
     def document(body: Column) -> Column:
-        return F.when(F.contains(body, F.lit("----")), bind(F.split(body, _LISTING), listings)).otherwise(
-            _prose_to_markdown(body)
-        )
+        marks = F.lit(False)
+        for mark in ("----", "....", "////", "|==="):
+            marks = marks | F.contains(body, F.lit(mark))
+        blocks = F.regexp_extract_all(body, F.lit(_BLOCK), F.lit(0))
+        pieces = F.zip_with(F.split(body, _BLOCK), blocks, piece)
+        return F.when(marks, F.array_join(pieces, "")).otherwise(_prose_to_markdown(body))
 
     return bind(text, document)

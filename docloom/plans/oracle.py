@@ -132,29 +132,65 @@ substituted AS (SELECT d.doc_id, list_reduce(list_prepend({{'name': '', 'value':
 adoc_cleaned AS (SELECT doc_id, {text} AS text FROM substituted s)"""
 
 
-def _prose(text: str) -> str:
-    steps = [(f"(?m)^{'=' * n} ", "#" * n + " ") for n in range(1, 7)]
-    steps += [(rf"(?m)^\*{{{n}}} +", "  " * (n - 1) + "- ") for n in range(1, 6)]
-    steps += [(rf"(?m)^\.{{{n}}} +", "   " * (n - 1) + "1. ") for n in range(1, 6)]
-    steps += [
-        (r"link:([^\s\[\]]+)\[([^\]\n]+)\]", r"[\2](\1)"),
-        (r"link:([^\s\[\]]+)\[\]", r"<\1>"),
-        (r"(^|[^\w:])(https?://[^\s\[\]<>]+)\[([^\]\n]+)\]", r"\1[\3](\2)"),
-        (r"(^|[^\w:])(https?://[^\s\[\]<>]+)\[\]", r"\1<\2>"),
-    ]
+_REFERENCES = (
+    (r"xref:([^\s\[\]]*[.#][^\s\[\]]*)\[([^\]\n]+)\]", r"[\2](\1)"),
+    (r"xref:([^\s\[\]]+)\[([^\]\n]+)\]", r"[\2](#\1)"),
+    (r"<<([^\s<>,]+),[ ]*([^<>\n]+)>>", r"[\2](#\1)"),
+    (r"<<([^\s<>,]+)>>", r"[\1](#\1)"),
+    (r"link:([^\s\[\]]+)\[([^\]\n]+)\]", r"[\2](\1)"),
+    (r"link:([^\s\[\]]+)\[\]", r"<\1>"),
+    (r"(^|[^\w:])(https?://[^\s\[\]<>]+)\[([^\]\n]+)\]", r"\1[\3](\2)"),
+    (r"(^|[^\w:])(https?://[^\s\[\]<>]+)\[\]", r"\1<\2>"),
+)
+
+
+def _replaced(text: str, steps) -> str:
     for pattern, new in steps:
         text = f"regexp_replace({text}, {_quoted(pattern)}, {_quoted(new)}, 'g')"
     return text
 
 
+def _prose(text: str) -> str:
+    """Marks at the start of a line may be up to twelve long."""
+    steps = [(f"(?m)^{'=' * n} ", "#" * n + " ") for n in range(1, 7)]
+    steps += [(rf"(?m)^\*{{{n}}} +", "  " * (n - 1) + "- ") for n in range(1, 13)]
+    steps += [(rf"(?m)^\.{{{n}}} +", "   " * (n - 1) + "1. ") for n in range(1, 13)]
+    steps += [(r"(?m)^image::([^\s\[\]]+)\[([^\],\n]*)[^\]\n]*\][ \t]*$", r"![\2](\1)")]
+    return _replaced(text, (*steps, *_REFERENCES))
+
+
+def _blocks() -> str:
+    """Every mark with its own alternative: these patterns have no back references."""
+    marks = [(rf"-{{{n}}}", r"|\z") for n in range(4, 13)]
+    marks += [(rf"{mark}{{{n}}}", "") for mark in (r"\.", "/") for n in range(4, 13)]
+    marks += [(rf"\|={{{n}}}", "") for n in range(3, 13)]
+    return "(?m)^(?:" + "|".join(rf"{m}[ \t]*$(?s:.*?)(?:^{m}[ \t]*${end})" for m, end in marks) + ")"
+
+
 _SOURCE_LINE = _quoted(r"(?m)^\[source,[ \t]*([A-Za-z0-9_+#-]+)[^\]\n]*\]\n\z")
+_TABLE_LINE = _quoted(r"(?m)^\[[^\[\]\n]*\]\n\z")
+_CELL = _replaced(r"regexp_replace(trim(c, concat(' ', chr(9), chr(10))), '[ \t]*\n\s*', ' ', 'g')", _REFERENCES)
 _MARKDOWN = rf"""WITH {_ADOC},
 {_view("adoc_markup", views.ADOC_MARKUP_COLUMNS, "adoc_documents")},
 {_adoc_cleaned("adoc_markup")},
-parts AS (SELECT doc_id, string_split(regexp_replace(text, '(?m)^-{{4,}}[ \t]*$', chr(2), 'g'), chr(2)) AS p FROM adoc_cleaned)
-SELECT doc_id, list_aggregate(list_transform(p, lambda x, i: CASE
-    WHEN i % 2 = 0 THEN concat('```', regexp_extract(p[i - 1], {_SOURCE_LINE}, 1), x, CASE WHEN suffix(x, chr(10)) THEN '' ELSE chr(10) END, '```')
-    WHEN i < len(p) THEN {_prose(f"regexp_replace(x, {_SOURCE_LINE}, '')")} ELSE {_prose('x')} END), 'string_agg', '') AS md FROM parts"""
+numbered AS (SELECT doc_id, string_split_regex(text, {_quoted(_blocks())}) AS p, regexp_extract_all(text, {_quoted(_blocks())}) AS b FROM adoc_cleaned),
+parts AS (SELECT doc_id, generate_subscripts(p, 1) AS i, unnest(p) AS part, unnest(list_resize(b, len(p))) AS block FROM numbered),
+kinds AS (SELECT *, left(block, 1) AS kind,
+  regexp_replace(regexp_replace(block, '\A[-.]+[ \t]*', ''), '\n(-+|\.+)[ \t]*\z', chr(10)) AS body,
+  regexp_extract(regexp_extract(part, {_TABLE_LINE}), 'cols="([^"]*)"', 1) AS told,
+  string_split(regexp_replace(regexp_replace(replace(block, concat(chr(92), '|'), chr(1)), '\A\|=+[ \t]*', ''), '\|=+[ \t]*\z', ''), '|') AS bars FROM parts),
+fences AS (SELECT *, repeat('`', coalesce(list_max(list_transform(regexp_extract_all(body, '`{{3,}}'), lambda x: len(x))) + 1, 3)) AS fence,
+  greatest(CASE WHEN regexp_matches(told, '^[0-9]{{1,3}}\*$') THEN CAST(rtrim(told, '*') AS INTEGER)
+    WHEN told <> '' THEN len(string_split(told, ','))
+    ELSE len(string_split(regexp_extract(array_to_string(bars, '|'), '[^\n]*\|[^\n]*'), '|')) - 1 END, 1) AS width,
+  list_transform(bars[2:], lambda c: replace({_CELL}, chr(1), concat(chr(92), '|'))) AS cells FROM kinds),
+drawn AS (SELECT *, list_transform(range(0, len(cells), width), lambda r: concat('| ', array_to_string(cells[r + 1 : r + width], ' | '), ' |')) AS lines FROM fences),
+shown AS (SELECT doc_id, i, concat(
+  CASE WHEN kind IN ('-', '.') THEN {_prose(f"regexp_replace(part, {_SOURCE_LINE}, '')")} WHEN kind = '|' THEN {_prose(f"regexp_replace(part, {_TABLE_LINE}, '')")} ELSE {_prose('part')} END,
+  CASE WHEN kind IN ('-', '.') THEN concat(fence, regexp_extract(part, {_SOURCE_LINE}, 1), body, CASE WHEN suffix(body, chr(10)) THEN '' ELSE chr(10) END, fence)
+    WHEN kind = '|' AND len(bars) < 2 THEN block
+    WHEN kind = '|' THEN array_to_string(list_concat([lines[1], concat('|', repeat(' --- |', width))], lines[2:]), chr(10)) END) AS s FROM drawn)
+SELECT doc_id, string_agg(s, '' ORDER BY i) AS md FROM shown GROUP BY doc_id"""
 
 
 # --- question-answer rows --------------------------------------------------

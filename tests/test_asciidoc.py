@@ -77,6 +77,22 @@ def test_clean_asciidoc(value, raw, expected):
         ("----\n[source,c]\n----\n[source,d]\nx", "```\n[source,c]\n```\n[source,d]\nx"),
         ("----\nnever closed", "```\nnever closed\n```"),
         ("a -- b --- c", "a -- b --- c"),
+        # A block closes with marks of its own kind and length only.
+        ("----\na\n------\n....\n* b\n----\n* c", "```\na\n------\n....\n* b\n```\n- c"),
+        ("......\n* a\n....\n----\n......\n----\n= b\n----", "```\n* a\n....\n----\n```\n```\n= b\n```"),
+        ("x\n////\n* gone\n----\n/////\n////\n* y", "x\n\n- y"),
+        ("....\n* no partner\n////\n* nor here", "....\n- no partner\n////\n- nor here"),
+        ("----\n```\n````x\n----", "`````\n```\n````x\n`````"),
+        ("******* deep\n....... d", "            - deep\n                  1. d"),
+        ("|===\n|A |B\n\n|one\n|two\nlines\n|a\\|b |https://x.org[X]\n|===\n* z",
+         "| A | B |\n| --- | --- |\n| one | two lines |\n| a\\|b | [X](https://x.org) |\n- z"),
+        ('.T\n[cols="1,2"]\n|===\n|a\n|b\n|c\n|===', ".T\n| a | b |\n| --- | --- |\n| c |"),
+        ('[%header,cols="3*"]\n|====\n|a |b |c |d\n|===\n|====', "| a | b | c |\n| --- | --- | --- |\n| d | === |"),
+        ("|===\n|===", "|===\n|==="),
+        ("image::a/b.png[An image,200]\nimage::c.png[]", "![An image](a/b.png)\n![](c.png)"),
+        ("see xref:a.adoc#b[A part], xref:c[C], <<id>> and <<id, text>>", "see [A part](a.adoc#b), [C](#c), [id](#id) and [text](#id)"),
+        ("* <<x>> link:a[b]", "- [x](#x) [b](a)"),
+        ("", ""),
     ],
 )
 def test_markdown_subset(value, raw, expected):

@@ -19,6 +19,8 @@ TOKENS = (
     "\n= t\n", "\n====== t\n", "\n======= t\n", "\n* a\n", "\n*** a\n", "\n****** a\n", "\n. a\n", "\n.. a\n", "\n.T\n", "\n*b* c\n",
     "\n----\n", "\n------ \n", "\n[source,bash]\n----\n", "\n[source,c++,x]\n-----\n", "link:a[b]", "link:a[]", " https://x.y/z[t]", " http://q[]", "image:https://x[a]",
     "---", "- x\n", "* ", "= ",
+    "\n....\n", "\n.....\n", "\n////\n", "\n|===\n", "\n|====\n", '\n[cols="2*"]\n|===\n', "|a |b\n", "|", "\\|", "\n-----\n",
+    "\nimage::p[q, r]\n", "xref:a[b]", "xref:a.b#c[d]", "<<e>>", "<<f, g>>", "\n........ a\n",
 )
 NAMES = (
     "clean_technical", "clean_technical_strict", "split_sections", "chunk_documents", "chunk_documents_small",
