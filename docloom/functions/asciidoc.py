@@ -16,11 +16,13 @@ def attribute_entries(
     text: Column,
     defaults: tuple[tuple[str, str], ...] = fv.DEFAULT_ATTRIBUTES,
     across_lines: bool = False,
+    shared: Column | None = None,
 ) -> Column:
-    """``array<struct<name, value>>`` in the order of substitution.
+    """``array<struct<name, value>>`` in the order of substitution: defaults,
+    the ``shared`` array of such structs, the text's own.
 
     A name keeps the place of its first appearance and the value of its last
-    one; defaults come first.  ``across_lines`` lets a definition without a
+    one.  ``across_lines`` lets a definition without a
     value take the next non-empty line as its value.
     """
     pattern = line_mode(fv.ATTRIBUTE_ACROSS_LINES if across_lines else fv.ATTRIBUTE_LINE)
@@ -42,7 +44,8 @@ def attribute_entries(
             lambda name: F.filter(last_first, lambda entry: entry["name"] == name)[0],
         )
 
-    return bind(F.concat(given, own), newest)
+    before = given if shared is None else F.concat(given, shared)
+    return bind(F.concat(before, own), newest)
 
 
 def substitute_line(line: Column, entries: Column) -> Column:

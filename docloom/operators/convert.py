@@ -8,10 +8,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom import fixed_values as fv
 from docloom.functions.asciidoc import asciidoc_to_markdown, attribute_entries, clean_asciidoc
 from docloom.functions.paths import extension, is_supported
 from docloom.functions.text import normalise_newlines
+from docloom.session import work_dir
 
 # A converter gets the path and the bytes of one document and returns Markdown.
 Converter = Callable[[str, bytes], str]
@@ -40,21 +40,57 @@ def with_status(docs: DataFrame) -> DataFrame:
     )
 
 
-def shared_attributes(docs: DataFrame, table: DataFrame) -> DataFrame:
-    """``attributes``: defaults, then the rows of a shared ``name, value``
-    table, then the document's own definitions.
+_REFERENCE = r"\{([^{}\n]+)\}"
 
-    The table is folded to one row first; it must be a small, hand-kept list,
-    which is checked here.
+
+def _references(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(1)))
+
+
+def shared_attributes(docs: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``attributes`` of ``docs(key, text)``: defaults, then rows of a shared
+    ``name, value`` table by name, then the document's own definitions.
+
+    The table may be of any size: a document gets the rows it refers to, and
+    those that these refer to.  References are looked up by equality joins and
+    written level by level; no row of the table goes through the driver.  A
+    reference that only comes about by substitution inside braces
+    (``{a{b}}``) finds no shared row that nothing else refers to.  Of rows with the same name the
+    greatest value counts; rows without a name or value are left out.  ``key``
+    should be unique; documents that repeat it get each other's rows as well.
     """
-    limit = 1000
-    rows = table.select("name", "value").orderBy("name").take(limit + 1)
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} shared attributes")
-    if any("\n" in row["name"] + row["value"] for row in rows):
+    given = table.where("name IS NOT NULL AND value IS NOT NULL")
+    if not given.where("contains(name, chr(10)) OR contains(value, chr(10))").isEmpty():
         raise ValueError("a shared attribute must be one line")
-    defaults = {**dict(fv.DEFAULT_ATTRIBUTES), **{row["name"]: row["value"] for row in rows}}
-    return docs.withColumn("attributes", attribute_entries(F.col("text"), tuple(defaults.items())))
+    spark, base = docs.sparkSession, work_dir(docs.sparkSession, "attributes")
+
+    def saved(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{base}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{base}/{name}")
+
+    rows = saved(given.groupBy("name").agg(F.max("value").alias("value")), "rows")
+    uses = rows.where(F.contains("value", F.lit("{"))).select("name", F.explode(_references(F.col("value"))).alias("used"))
+    uses = saved(uses.join(rows.select(F.col("name").alias("used")), "used", "left_semi"), "uses")
+    asked = docs.where(F.contains("text", F.lit("{"))).select(
+        F.col(key).alias("_key"), F.explode(_references(F.col("text"))).alias("name")
+    )
+    new = saved(asked.distinct().join(rows.select("name"), "name", "left_semi"), "hits/level=0")
+    level = 0
+    while not new.isEmpty():
+        level += 1
+        known = spark.read.schema(new.schema).option("basePath", f"{base}/hits").parquet(f"{base}/hits").drop("level")
+        reached = new.join(uses, "name").select("_key", F.col("used").alias("name")).distinct().alias("r")
+        seen = F.col("r._key").eqNullSafe(F.col("k._key")) & (F.col("r.name") == F.col("k.name"))
+        new = saved(reached.join(known.alias("k"), seen, "left_anti").select("name", "_key"), f"hits/level={level}")
+    hits = spark.read.schema(new.schema).option("basePath", f"{base}/hits").parquet(f"{base}/hits").drop("level")
+    entry = F.struct("name", "value")
+    found = hits.join(rows, "name").groupBy("_key").agg(F.sort_array(F.collect_list(entry)).alias("_shared"))
+    shared = F.coalesce("_shared", F.array().cast("array<struct<name:string,value:string>>"))
+    joined = docs.join(found, docs[key].eqNullSafe(found["_key"]), "left")
+    return joined.select(
+        *[docs[f"`{name}`"] for name in docs.columns if name != "attributes"],
+        attribute_entries(docs["text"], shared=shared).alias("attributes"),
+    )
 
 
 def asciidoc_markdown(text: Column, entries: Column | None = None) -> Column:
@@ -77,15 +113,26 @@ def _hook(converters: Mapping[str, Converter]):
     return convert
 
 
-def convert_native(files: DataFrame) -> DataFrame:
+def convert_native(files: DataFrame, shared: DataFrame | None = None) -> DataFrame:
     """``path, content`` -> ``path, md, error`` by column expressions alone.
-    What is not AsciiDoc, or not UTF-8, keeps its row with an ``error``."""
+    What is not AsciiDoc, or not UTF-8, keeps its row with an ``error``.
+
+    ``shared(name, value)`` are attributes of all documents, see
+    :func:`shared_attributes`; the decoded texts are then written once, since
+    they are read for their references and for the conversion.
+    """
     ext = extension(F.col("path"))
     decoded = decode_documents(files.select("path", "content", ext.alias("ext")))
     native = F.col("ext") == NATIVE_EXTENSION
+    entries = None
+    if shared is not None:
+        spark, place = files.sparkSession, work_dir(files.sparkSession, "texts")
+        decoded.write.parquet(place)
+        decoded = shared_attributes(spark.read.schema(decoded.schema).parquet(place), shared, "path")
+        entries = F.col("attributes")
     return decoded.select(
         "path",
-        F.when(native, asciidoc_markdown(F.col("text"))).alias("md"),
+        F.when(native, asciidoc_markdown(F.col("text"), entries)).alias("md"),
         F.when(~native, F.concat(F.lit("Unsupported extension: "), F.col("ext"))).otherwise(F.col("error")).alias("error"),
     )
 

@@ -117,14 +117,37 @@ attributes AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER
     name, arg_max(value, i) AS value FROM mentions GROUP BY doc_id, name)"""
 
 
-def _adoc_cleaned(source: str) -> str:
+def _shared_attributes() -> str:
+    """The same with shared rows between defaults and own ones.  The rows a
+    text asks for refer to others two levels deep."""
+
+    def names(text: str) -> str:
+        return f"regexp_extract_all({text}, {_quoted('[{]([^{}]+)[}]')}, 1)"
+
+    shared = [column.replace(" div ", " // ") for column in views.SHARED_COLUMNS]
+    return f"""{_view("shared", shared)},
+adoc_shared AS (SELECT {', '.join(views.ADOC_SHARED_COLUMNS)} FROM adoc_documents),
+asked AS (SELECT doc_id, unnest({names('text')}) AS name FROM adoc_shared),
+hits0 AS (SELECT DISTINCT doc_id, name, value FROM asked JOIN shared USING (name)),
+hits1 AS (SELECT DISTINCT h.doc_id, s.name, s.value FROM (SELECT doc_id, unnest({names('value')}) AS used FROM hits0) h JOIN shared s ON s.name = used),
+hits2 AS (SELECT DISTINCT h.doc_id, s.name, s.value FROM (SELECT doc_id, unnest({names('value')}) AS used FROM hits1) h JOIN shared s ON s.name = used),
+hits3 AS (SELECT DISTINCT h.doc_id, s.name, s.value FROM (SELECT doc_id, unnest({names('value')}) AS used FROM hits2) h JOIN shared s ON s.name = used),
+hits AS (FROM hits0 UNION FROM hits1 UNION FROM hits2 UNION FROM hits3),
+{_attributes("adoc_shared").replace("attributes AS", "own_only AS")},
+ordered AS (SELECT doc_id, name, value, CASE WHEN i <= {len(fv.DEFAULT_ATTRIBUTES)} THEN 0 ELSE 2 END AS stage, '' AS place, i FROM mentions
+  UNION ALL SELECT doc_id, name, value, 1, name, 0 FROM hits),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY stage, place, i) AS r FROM ordered),
+attributes AS (SELECT doc_id, min(r) AS ord, name, arg_max(value, r) AS value FROM ranked GROUP BY doc_id, name)"""
+
+
+def _adoc_cleaned(source: str, attributes: str = "") -> str:
     text = "s.done"
     for pattern in (fv.ATTRIBUTE_REFERENCE,):
         text = _drop(text, pattern)
     directives = "^(?:" + "|".join(fv.CONDITIONAL_STARTS) + ").*$"
     for pattern in (f"^{fv.INCLUDE_START}.*$", fv.BLOCK_ID_LINE, directives, f"{fv.DEFINITION_START}.*$"):
         text = _drop(text, _lines(pattern))
-    return f"""{_attributes(source)},
+    return f"""{attributes or _attributes(source)},
 attribute_lists AS (SELECT doc_id, list({{'name': name, 'value': value}} ORDER BY ord) AS l FROM attributes GROUP BY doc_id),
 substituted AS (SELECT d.doc_id, list_reduce(list_prepend({{'name': '', 'value': d.text}}, a.l),
     lambda x, y: {{'name': '', 'value': replace(x.value, concat('{{', y.name, '}}'), y.value)}}).value AS done
@@ -279,6 +302,7 @@ FROM (SELECT sha256(text) AS h FROM documents)""",
         "adoc_attributes_across_lines": f"WITH {_ADOC},\n{_attributes('adoc_documents', fv.ATTRIBUTE_ACROSS_LINES)}"
         " SELECT doc_id, ord, name, value FROM attributes",
         "adoc_clean": f"WITH {_ADOC},\n{_adoc_cleaned('adoc_documents')} SELECT doc_id, text FROM adoc_cleaned",
+        "adoc_clean_shared": f"WITH {_ADOC},\n{_adoc_cleaned('adoc_shared', _shared_attributes())} SELECT doc_id, text FROM adoc_cleaned",
         "adoc_to_markdown": _MARKDOWN,
         "source_status": f"""WITH {_ADOC} SELECT doc_id, path, {ext} AS ext,
   CASE WHEN {ext} IN ('.adoc', '.pdf') THEN 'supported' ELSE 'unsupported' END AS status FROM adoc_documents""",

@@ -115,6 +115,14 @@ def q_adoc_clean(spark, sf_dir):
     return views.adoc_documents(spark, sf_dir).select("doc_id", clean_asciidoc(F.col("text")).alias("text"))
 
 
+def q_adoc_clean_shared(spark, sf_dir):
+    """With a table of shared attributes as long as that of the documents."""
+    docs = views.adoc_documents(spark, sf_dir).selectExpr(*views.ADOC_SHARED_COLUMNS)
+    table = views.documents_view(spark, sf_dir, views.SHARED_COLUMNS)
+    known = convert.shared_attributes(docs, table, "doc_id")
+    return known.select("doc_id", clean_asciidoc(F.col("text"), F.col("attributes")).alias("text"))
+
+
 def q_adoc_to_markdown(spark, sf_dir):
     docs = views.adoc_markup(spark, sf_dir)
     return docs.select("doc_id", asciidoc_to_markdown(clean_asciidoc(F.col("text"))).alias("md"))

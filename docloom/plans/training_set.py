@@ -14,7 +14,7 @@ from docloom.operators.chunks import chunk_documents, dedup_chunks, generator_in
 from docloom.operators.convert import Converter
 from docloom.operators.generators import get_generator
 from docloom.session import path_exists
-from docloom.sources.documents import convert_tree, list_files
+from docloom.sources.documents import NATIVE, convert_tree, list_files
 from docloom.sources.sinks import read_converted, write_chat_jsonl, write_converted, write_dataset
 from docloom.streaming.generation import open_run, process_staged, read_generated, stage_chunks
 
@@ -58,6 +58,7 @@ def convert_inputs(
     target: str,
     converters: Mapping[str, Converter] | None = None,
     resume: bool = False,
+    shared: DataFrame | None = None,
 ) -> dict[str, int]:
     """Convert a tree to the table ``documents`` below ``target``.
 
@@ -67,15 +68,15 @@ def convert_inputs(
     all are taken over.
     """
     documents, manifest = f"{target}/documents", f"{target}/files"
-    now = list_files(spark, inputs, converters)
+    now = list_files(spark, inputs, converters, shared=shared)
     if not (resume and path_exists(spark, f"{documents}/_SUCCESS") and path_exists(spark, f"{manifest}/_SUCCESS")):
-        counts = write_converted(convert_tree(spark, inputs, converters), documents)
+        counts = write_converted(convert_tree(spark, inputs, converters, shared=shared), documents)
         now.write.mode("overwrite").parquet(manifest)
         return counts
     known = spark.read.schema(now.schema).parquet(manifest)
     # What the native conversion rejects it rejects again; a hook may not.
     rejected = read_converted(spark, documents, "failed").join(
-        known.where("converter = 'native'").select("path"), "path", "left_semi"
+        known.where(F.startswith("converter", F.lit(NATIVE))).select("path"), "path", "left_semi"
     )
     before = read_converted(spark, documents).unionByName(rejected)
     same = before.select("path").join(known.join(now, now.columns, "left_semi"), "path", "left_semi")
@@ -83,7 +84,8 @@ def convert_inputs(
     if listed == taken == had:
         return {}
     kept = before.join(same, "path", "left_semi")
-    counts = write_converted(convert_tree(spark, inputs, converters, done=same).unionByName(kept), documents)
+    converted = convert_tree(spark, inputs, converters, done=same, shared=shared)
+    counts = write_converted(converted.unionByName(kept), documents)
     now.write.mode("overwrite").parquet(manifest)
     return counts
 
@@ -109,6 +111,7 @@ def build_training_set(
     settings: Settings | None = None,
     converters: Mapping[str, Converter] | None = None,
     resume: bool = False,
+    shared: DataFrame | None = None,
 ) -> dict[str, int]:
     """Convert, chunk, deduplicate, generate, finalize and export.
 
@@ -116,10 +119,12 @@ def build_training_set(
     ``dataset`` and ``train`` (JSON Lines).  With ``resume`` unchanged
     documents and finished chunks are used again: the latest run with the same
     settings and generator goes on.  The result is that of a fresh call in any
-    case: it has the rows of the present chunks only.
+    case: it has the rows of the present chunks only.  ``shared(name, value)``
+    are attributes of all AsciiDoc documents; if they change, these are
+    converted again.
     """
     settings = settings or Settings()
-    counts = convert_inputs(spark, inputs, target, converters, resume)
+    counts = convert_inputs(spark, inputs, target, converters, resume, shared)
     chunks = prepare_chunks(read_converted(spark, f"{target}/documents"), settings)
     run = open_run(spark, f"{target}/generation/{run_name(settings, chunks)}", resume)
     stage_chunks(run, chunks, settings.batch_size)

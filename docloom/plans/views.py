@@ -33,6 +33,19 @@ ADOC_COLUMNS = (
     'include::modules/x.adoc[leveloffset=+1]', chr(10), 'ifdef::foo[]', chr(10), 'Kept {unknown} {op-system-base} {kebab}', chr(10), 'endif::[]', chr(10), text) AS text""",
 )
 
+# References to shared attributes, and a table of them as long as that of the
+# documents.  Values refer to others, a third of all texts to the same one.
+ADOC_SHARED_COLUMNS = (
+    "doc_id",
+    """concat(text, chr(10), CASE WHEN doc_id % 4 = 0 THEN concat(':s-', CAST(doc_id AS STRING), ': own {s-1}', chr(10)) ELSE '' END,
+    'Shared {s-', CAST(doc_id AS STRING), '}, {t-', CAST(doc_id % 17 AS STRING), '}, {kebab}', CASE WHEN doc_id % 3 = 0 THEN ', {u-1}' ELSE '' END) AS text""",
+)
+SHARED_COLUMNS = (
+    """concat(CASE doc_id % 3 WHEN 0 THEN 's-' WHEN 1 THEN 't-' ELSE 'u-' END, CAST(doc_id div 3 AS STRING)) AS name""",
+    """CASE doc_id % 3 WHEN 0 THEN concat('s', CAST(doc_id AS STRING), ' {t-', CAST(doc_id div 6 AS STRING), '} {product-title}')
+    WHEN 1 THEN concat('t {u-', CAST(doc_id div 6 AS STRING), '} {s-2}') ELSE 'u {unknown}' END AS value""",
+)
+
 # Files with names and folders that a file scan would pass over.
 TREE_PATH = """concat(CASE doc_id % 6 WHEN 1 THEN '_part/' WHEN 2 THEN '.git/' ELSE 'docs/' END, CAST(doc_id % 13 AS STRING), '/',
     CASE doc_id % 5 WHEN 0 THEN '_' WHEN 1 THEN '.' WHEN 2 THEN 'a #%20 ' ELSE '' END, 'd', CAST(doc_id AS STRING),

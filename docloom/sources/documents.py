@@ -13,6 +13,8 @@ from docloom.operators.convert import Converter, convert_by_hook, convert_native
 from docloom.session import path_kind, qualified, work_dir
 from docloom.sources import stores
 
+#: What the converter of a file that needs no hook is called.
+NATIVE = "native"
 #: Bytes of files that a task reads, about.
 READ_BYTES = 64 * 1024 * 1024
 
@@ -128,9 +130,11 @@ def convert_tree(
     converters: Mapping[str, Converter] | None = None,
     ignore_case: bool = False,
     done: DataFrame | None = None,
+    shared: DataFrame | None = None,
 ) -> DataFrame:
     """Documents of a tree as ``path, md, error``, but for those in
-    ``done(path)``.
+    ``done(path)``.  ``shared(name, value)`` are attributes of all AsciiDoc
+    documents.
 
     Files for the converters and files for the native conversion are listed
     apart by their extension, so every file is read once.
@@ -144,7 +148,7 @@ def convert_tree(
     def files(extensions: tuple[str, ...]) -> DataFrame:
         return read_files(listed.where(extension(F.col("path")).isin(*extensions)))
 
-    converted = convert_native(files(native)) if native else None
+    converted = convert_native(files(native), shared) if native else None
     if not converters:
         return converted
     by_hook = convert_by_hook(files(tuple(converters)), converters)
@@ -156,14 +160,20 @@ def list_files(
     inputs: Sequence[str],
     converters: Mapping[str, Converter] | None = None,
     ignore_case: bool = False,
+    shared: DataFrame | None = None,
 ) -> DataFrame:
     """``path, length, modified, converter`` of the files ``convert_tree``
     reads; no content is read.  The four together say whether a conversion
-    would see the same again."""
+    would see the same again: with shared attributes the native converter's
+    name tells their digest."""
     names = {ext: f"{f.__module__}.{getattr(f, '__qualname__', type(f).__qualname__)}" for ext, f in (converters or {}).items()}
     extensions = tuple(dict.fromkeys([*fv.SUPPORTED_EXTENSIONS, *names]))
     found = _supported(spark, inputs, extensions, ignore_case)
-    name = F.lit("native")
+    native = NATIVE
+    if shared is not None:
+        digest = F.sum(F.xxhash64("name", "value").cast("decimal(38,0)"))
+        native = f"{NATIVE} " + ":".join(map(str, shared.agg(F.count(F.lit(1)), digest).first()))
+    name = F.lit(native)
     for ext, converter in names.items():
         name = F.when(extension(F.col("path")) == ext, F.lit(converter)).otherwise(name)
     return found.select("path", "length", F.col("modificationTime").alias("modified"), name.alias("converter"))

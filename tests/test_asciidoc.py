@@ -105,11 +105,29 @@ def test_attributes_do_not_leak_between_documents(spark):
     assert rows == {1: "\none", 2: ""}
 
 
+def cleaned(docs, table):
+    known = shared_attributes(docs, table, "id").select("id", a.clean_asciidoc(F.col("text"), F.col("attributes")).alias("t"))
+    return {r["id"]: r["t"] for r in known.collect()}
+
+
 def test_shared_attributes(spark):
-    docs = spark.createDataFrame([(1, ":y: own\n{x} {y} {kebab}")], "id int, text string")
-    table = spark.createDataFrame([("x", "shared"), ("y", "other"), ("kebab", "K")], "name string, value string")
-    with_them = shared_attributes(docs, table)
-    assert with_them.select(a.clean_asciidoc(F.col("text"), F.col("attributes")).alias("t")).first()["t"] == "\nshared own K"
+    docs = spark.createDataFrame([(1, ":y: own\n{x} {y} {kebab}"), (None, "{x}"), (3, None), (4, "")], "id int, text string")
+    pairs = [("x", "shared"), ("y", "other"), ("kebab", "K"), ("x", "a"), (None, "n"), ("n", None)]
+    table = spark.createDataFrame(pairs, "name string, value string")
+    assert cleaned(docs, table) == {1: "\nshared own K", None: "shared", 3: None, 4: ""}
+    assert cleaned(docs.limit(0), table) == {}
+    assert cleaned(docs, table.limit(0))[1] == "\n own &#8942;"
     broken = spark.createDataFrame([("x", "a\nb")], "name string, value string")
     with pytest.raises(ValueError, match="one line"):
-        shared_attributes(docs, broken)
+        shared_attributes(docs, broken, "id")
+
+
+def test_shared_attributes_of_any_number_and_depth(spark):
+    """Each refers to the next one by name, the last one back to the first."""
+    table = spark.range(3000).selectExpr("format_string('c%04d', id) AS name", "concat(id % 10, format_string('{c%04d}', (id + 1) % 3000)) AS value")
+    docs = spark.createDataFrame([(1, "{c2990}"), (2, ":c2995: mine\n{c2990}"), (3, "{c9999}")], "id int, text string")
+    # A value is resolved by later names only; one's own definitions come last
+    # in order unless a shared row had the name before.
+    assert cleaned(docs, table.where("name >= 'c2990'")) == {1: "0123456789", 2: "\n01234mine", 3: ""}
+    one = docs.where("id < 3")
+    assert cleaned(one, table.where("name >= 'c2985' OR name < 'c0003'")) == {1: "0123456789", 2: "\n01234mine"}

@@ -75,3 +75,17 @@ def test_failed_conversions_are_tried_again(spark, tmp_path):
         build_training_set(spark, [str(inputs)], target, converters={".pdf": broken})
     counts = build_training_set(spark, [str(inputs)], target, converters={".pdf": working}, resume=True)
     assert counts["converted"] == 1 and counts["examples"] == counts["rows"] > 0
+
+
+def test_shared_attributes_reach_the_documents(spark, tmp_path):
+    inputs = tree(tmp_path / "s", x="= X {brand}\n\n{brand} weaves.\n", y="= Y\n\n:brand: Own\n{brand} knits.\n")
+
+    def answers(value, target, resume):
+        shared = spark.createDataFrame([("brand", value)], "name string, value string")
+        build_training_set(spark, [inputs], str(target), Settings(), resume=resume, shared=shared)
+        return "".join(rows_of(target))
+
+    first = answers("Loom", tmp_path / "out", False)
+    assert "Loom weaves" in first and "Own knits" in first
+    changed = answers("Wool", tmp_path / "out", True)
+    assert "Wool weaves" in changed and "Loom" not in changed and "Own knits" in changed
