@@ -58,7 +58,7 @@ ADOC_MARKUP_COLUMNS = (
     '[source,bash]', chr(10), '----', chr(10), '* no item', chr(10), '= no title', chr(10), '----', chr(10),
     'See link:a/b.html[the page], link:c.html[], https://example.org/x[a site] or https://example.org/', CAST(doc_id AS STRING), '[].', chr(10),
     '----', chr(10), 'plain', chr(10), '------', chr(10), '....', chr(10), '----', chr(10),
-    '.....', chr(10), '* literal', chr(10), '....', chr(10), '.....', chr(10), '////', chr(10), '== gone ', text, chr(10), '////', chr(10), '....... deep', chr(10),
+    '.....', chr(10), '* literal', chr(10), '....', chr(10), '.....', chr(10), '////', chr(10), '== gone', chr(10), '////', chr(10), '....... deep', chr(10),
     '[cols="', CASE doc_id % 3 WHEN 0 THEN '2*' WHEN 1 THEN '1,3,1' ELSE '' END, '"]', chr(10), '|===', chr(10), '|Name |Value', chr(10), '|D', CAST(doc_id AS STRING), chr(10), '|a', chr(92), '|b', chr(10), text, chr(10), chr(10), '|see <<x, X>> |', chr(10), '|===', chr(10),
     'image::img/', CAST(doc_id AS STRING), '.png[Shown, 200]', chr(10), 'See xref:a/b.adoc#c[that], xref:d', CAST(doc_id AS STRING), '[this] or <<near>>.', chr(10), CASE WHEN doc_id % 7 = 0 THEN concat('----', chr(10), 'never closed') ELSE 'end' END) AS text""",
 )

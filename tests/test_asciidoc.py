@@ -99,6 +99,15 @@ def test_markdown_subset(value, raw, expected):
     assert value(a.asciidoc_to_markdown, raw) == expected
 
 
+def test_very_long_blocks(value):
+    lines = "* x\n-----\n....\n" * 100_000
+    assert value(a.asciidoc_to_markdown, f"----\n{lines}----\n* y") == f"```\n{lines}```\n- y"
+    assert value(a.asciidoc_to_markdown, f"----\n{lines}") == f"```\n{lines}```"
+    rows = "".join(f"|{i} |b\n" for i in range(20_000))
+    table = value(a.asciidoc_to_markdown, f"|===\n{rows}|===").split("\n")
+    assert len(table) == 20_001 and table[-1] == "| 19999 | b |"
+
+
 def test_attributes_do_not_leak_between_documents(spark):
     docs = spark.createDataFrame([(1, ":x: one\n{x}"), (2, "{x}")], "id int, text string")
     rows = {r["id"]: r["t"] for r in docs.select("id", a.clean_asciidoc(F.col("text")).alias("t")).collect()}
