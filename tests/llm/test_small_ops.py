@@ -172,6 +172,22 @@ def test_mix_odd_rows(spark, odd_docs, no_docs):
     assert curriculum_plan(no_docs).count() == 0 and curriculum_mix(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("cell_words", [50, 700, 8_000_000])
+def test_mix_equals_its_plan_in_cells_of_any_size(spark, cell_words):
+    """A source with most rows, repeated ids with equal and other texts, rows
+    without an id or source: the copies of the plan, in order, in one shuffle."""
+    r = random.Random(cell_words)
+    rows = [(i, "w " * int(r.paretovariate(0.8)), r.choice(["a"] * 9 + ["b", "c", None])) for i in range(300)]
+    rows += [(5, "again and again", "a")] * 20 + [(6, "v " * i, "a") for i in range(9)] + [(None, "u " * i, "b") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    mix = curriculum_mix(docs, cell_words=cell_words)
+    assert mix._jdf.queryExecution().executedPlan().toString().count("Exchange shufflepartitionid") == 1
+    got = mix.collect()
+    assert [row["position"] for row in got] == sorted(row["position"] for row in got)
+    planned = [(c["position"], row["doc_id"] or -1, c["words"]) for row in curriculum_plan(docs).collect() for c in row["copies"]]
+    assert sorted((row["position"], row["doc_id"] or -1, row["words"]) for row in got) == sorted(planned)
+
+
 def test_mix_is_native(spark):
     plan = curriculum_mix(table(spark, "documents"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
