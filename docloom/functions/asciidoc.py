@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,21 +38,44 @@ def attribute_entries(
         ),
     )
 
-    def newest(all_entries: Column) -> Column:
-        names = F.transform(all_entries, lambda entry: entry["name"])
-        last_first = F.reverse(all_entries)
-        return F.transform(
-            F.array_distinct(names),
-            lambda name: F.filter(last_first, lambda entry: entry["name"] == name)[0],
-        )
-
     before = given if shared is None else F.concat(given, shared)
-    return bind(F.concat(before, own), newest)
+    return bind(F.concat(before, own), _newest)
+
+
+def _newest(entries: Column) -> Column:
+    """Sorted by name and place, the entries of a name are a run: its first one
+    gives the place, its last one the value."""
+
+    def of_runs(ordered: Column, starts: Column) -> Column:
+        def one(start: Column, run: Column) -> Column:
+            end = F.coalesce(F.get(starts, run + 1), F.size(ordered))
+            first, last = F.get(ordered, start), F.get(ordered, end - 1)
+            return F.struct(first["place"], first["name"].alias("name"), last["value"].alias("value"))
+
+        by_place = F.array_sort(F.transform(starts, one))
+        return F.transform(by_place, lambda e: F.struct(e["name"].alias("name"), e["value"].alias("value")))
+
+    def runs(ordered: Column) -> Column:
+        def is_start(i: Column) -> Column:
+            return (i == 0) | ~F.get(ordered, i - 1)["name"].eqNullSafe(F.get(ordered, i)["name"])
+
+        starts = F.filter(F.transform(ordered, lambda _, i: i), is_start)
+        return bind(starts, lambda found: of_runs(ordered, found))
+
+    placed = F.transform(
+        entries,
+        lambda e, i: F.struct(e["name"].alias("name"), i.alias("place"), e["value"].alias("value")),
+    )
+    return bind(F.array_sort(placed), runs)
 
 
-def substitute_line(line: Column, entries: Column) -> Column:
+def substitute_in_turn(line: Column, entries: Column) -> Column:
     """Replace ``{name}`` entry by entry, one pass: a reference inside a
-    value is resolved only by an entry that comes later."""
+    value is resolved only by an entry that comes later.
+
+    What substitution means, at the cost of a search per entry and line; used
+    where braces are nested or left open, so that a replacement may complete a
+    reference.  Other lines get the same from ``substitute_line``."""
     return F.aggregate(
         entries,
         line,
@@ -58,10 +83,117 @@ def substitute_line(line: Column, entries: Column) -> Column:
     )
 
 
+_REFERENCE = r"\{([^{}]*)\}"
+
+
+def _only_references(text: Column) -> Column:
+    """Whether every brace belongs to a reference without braces inside."""
+    return ~F.regexp_replace(text, _REFERENCE, "").rlike("[{}]")
+
+
+def _position(ordered: Column, key: Column, of: Callable[[Column], Column]) -> Column:
+    """Index of the element of an ascending array whose ``of`` is ``key``, by
+    halving; null without one."""
+    def further(at: Column, halving: Column) -> Column:
+        step = at + F.call_function("shiftleft", F.lit(1), halving)
+        return F.when(of(F.get(ordered, step)) <= key, step).otherwise(at)
+
+    doublings = F.coalesce(F.ceil(F.log2(F.size(ordered))), F.lit(0)).cast("int")
+    below = F.aggregate(F.sequence(doublings, F.lit(0), F.lit(-1)), F.lit(-1), further)
+    return bind(below, lambda at: F.when(of(F.get(ordered, at)) == key, at))
+
+
+def _fill(line: Column, value_of: Callable[[Column], Column]) -> Column:
+    """The line cut at its references and put together with their values; a
+    reference without a value stays."""
+
+    def piece(text: Column, name: Column) -> Column:
+        reference = F.coalesce(value_of(name), F.concat(F.lit("{"), name, F.lit("}")))
+        return F.concat(text, F.when(name.isNull(), "").otherwise(reference))
+
+    names = F.regexp_extract_all(line, F.lit(_REFERENCE), F.lit(1))
+    return F.array_join(F.zip_with(F.split(line, _REFERENCE), names, piece), "")
+
+
+def known_attributes(entries: Column) -> Column:
+    """``struct<by_name, open, values, simple>`` for looking up references.
+
+    ``by_name`` are the entries sorted by name with their ``place``.  ``open``
+    are the places of values that hold references; ``values``, last one first,
+    are these values with the references filled in that later entries resolve.
+    ``simple`` is false if a name or value is null or has braces that make no
+    plain reference.
+    """
+    by_name = F.array_sort(
+        F.transform(
+            entries, lambda e, i: F.struct(e["name"].alias("name"), i.alias("place"), e["value"].alias("value"))
+        )
+    )
+    simple = F.forall(
+        entries,
+        lambda e: F.coalesce(~e["name"].rlike("[{}]") & _only_references(e["value"]), F.lit(False)),
+    )
+    places = F.transform(entries, lambda e, i: F.struct(i.alias("place"), e["value"].alias("value")))
+    with_references = F.filter(places, lambda e: F.contains(e["value"], F.lit("{")))
+
+    def resolved(names: Column, holders: Column) -> Column:
+        spots = F.transform(holders, lambda e: e["place"])
+
+        def values(spot: Column) -> Column:
+            return F.aggregate(
+                F.reverse(holders),
+                F.array().cast("array<string>"),
+                lambda done, e: F.concat(
+                    done, F.array(_fill(e["value"], lambda name: _value(name, names, spot, done, e["place"])))
+                ),
+            )
+
+        return bind(
+            spots,
+            lambda spot: F.struct(
+                names.alias("by_name"),
+                spot.alias("open"),
+                F.when(simple, values(spot)).alias("values"),
+                simple.alias("simple"),
+            ),
+        )
+
+    return bind(by_name, lambda names: bind(with_references, lambda holders: resolved(names, holders)))
+
+
+def _value(name: Column, by_name: Column, spots: Column, values: Column, after: Column) -> Column:
+    """Value of a name for a reference in the value at place ``after``, -1 for
+    one in the text."""
+
+    def of_entry(entry: Column) -> Column:
+        closed = ~F.contains(entry["value"], F.lit("{"))
+        filled = F.get(values, F.size(spots) - 1 - _position(spots, entry["place"], lambda spot: spot))
+        return F.when(entry["place"] > after, F.when(closed, entry["value"]).otherwise(filled))
+
+    return bind(F.get(by_name, _position(by_name, name, lambda e: e["name"])), of_entry)
+
+
+def substitute_line(line: Column, entries: Column, known: Column) -> Column:
+    """What ``substitute_in_turn`` gives; ``known`` are the
+    ``known_attributes`` of the entries.  A line costs its length and a search
+    by halving for each of its references."""
+
+    def value_of(name: Column) -> Column:
+        return _value(name, known["by_name"], known["open"], known["values"], F.lit(-1))
+
+    plain = known["simple"] & _only_references(line)
+    filled = F.when(plain, _fill(line, value_of)).otherwise(substitute_in_turn(line, entries))
+    return F.when(F.contains(line, F.lit("{")), filled).otherwise(line)
+
+
 def substitute_attributes(text: Column, entries: Column) -> Column:
     """The same for a text.  Neither names nor values hold a line feed, so
     lines are independent of each other."""
-    return bind(entries, lambda known: map_lines(text, lambda line: substitute_line(line, known)))
+
+    def lines(given: Column, known: Column) -> Column:
+        return map_lines(text, lambda line: substitute_line(line, given, known))
+
+    return bind(entries, lambda given: bind(known_attributes(given), lambda known: lines(given, known)))
 
 
 # --- directives ------------------------------------------------------------
@@ -101,17 +233,18 @@ def clean_asciidoc(text: Column, entries: Column | None = None) -> Column:
     shared table adds some.
     """
 
-    def resolved(known: Column) -> Column:
+    def resolved(entries: Column, known: Column) -> Column:
         def line_done(line: Column) -> Column:
-            without = drop_attribute_references(substitute_line(line, known))
+            without = drop_attribute_references(substitute_line(line, entries, known))
             return F.when(F.contains(line, F.lit("{")), bind(without, blank_include)).otherwise(blank_include(line))
 
         return map_lines(text, line_done)
 
     own = attribute_entries(text) if entries is None else entries
-    resolved_text = F.when(F.contains(text, F.lit("{")), bind(own, resolved)).otherwise(
-        map_lines(text, blank_include)
-    )
+    resolved_text = F.when(
+        F.contains(text, F.lit("{")),
+        bind(own, lambda given: bind(known_attributes(given), lambda known: resolved(given, known))),
+    ).otherwise(map_lines(text, blank_include))
     return map_lines(
         bind(resolved_text, drop_block_ids), lambda line: blank_definition(blank_conditional(line))
     )

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -37,6 +39,45 @@ def test_substitution_is_one_pass_in_order(value):
     assert value(a.clean_asciidoc, ":a: x{b}\n:b: y{a}\nsee {a} {b}").endswith("see xy y")
 
 
+def test_references_are_filled_as_if_in_turn(spark):
+    """Nested, open, empty and adjacent braces, in lines and in values, against
+    a plain loop of replacements over the entries."""
+    r = random.Random(11)
+    plain = ["{a}", "{b}", "{c}", "{a-b}", "{é}", "x", "{}", "{zz}", " ", "{d}"]
+    odd = [*plain, "{", "}", "{{a}}", "{a{b}}", "a", "b"]
+    rows = []
+    for i in range(600):
+        pieces = odd if i % 3 == 0 else plain
+        names = r.sample(["a", "b", "c", "d", "a-b", "ab", "ax", "é", ""], r.randrange(0, 9))
+        known = [(name, "".join(r.choices(pieces, k=r.randrange(0, 5)))) for name in names]
+        lines = ["".join(r.choices(odd if i % 2 else plain, k=r.randrange(0, 7))) for _ in range(r.randrange(1, 4))]
+        expected = "\n".join(lines)
+        for name, new in known:
+            expected = expected.replace("{" + name + "}", new)
+        rows.append((known, "\n".join(lines), expected))
+    docs = spark.createDataFrame(rows, "known array<struct<name:string,value:string>>, text string, expected string")
+    got = a.substitute_attributes(F.col("text"), F.col("known"))
+    assert docs.where(~got.eqNullSafe(F.col("expected"))).collect() == []
+
+
+def test_newest_values_in_first_places(spark):
+    r = random.Random(12)
+    rows = [([(r.choice("abcé"), str(r.random())) for _ in range(r.randrange(0, 12))],) for _ in range(200)]
+    docs = spark.createDataFrame(rows, "given array<struct<name:string,value:string>>")
+    for row in docs.select("given", a._newest(F.col("given")).alias("newest")).collect():
+        assert list(map(tuple, row["newest"])) == list(dict(map(tuple, row["given"])).items())
+
+
+def test_thousands_of_definitions(value):
+    count = 4_000
+    definitions = [f":n-{i}: v{i}{{n-{i + 1}}}" if i % 2 else f":n-{i}: v{i}" for i in range(count)]
+    text = "\n".join([*definitions, *[f"see {{n-{i}}} {{none}}" for i in range(count)]])
+    lines = value(a.clean_asciidoc, text).split("\n")[count:]
+    # The last odd name refers to one that is not defined.
+    end = [f"see v{count - 1} "]
+    assert lines == [f"see v{i}v{i + 1} " if i % 2 else f"see v{i} " for i in range(count - 1)] + end
+
+
 def test_last_definition_counts_before_it_too(value):
     assert value(a.clean_asciidoc, "{v}\n:v: 1\n:v: 2\n") == "2\n\n\n"
 
