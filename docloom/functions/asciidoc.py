@@ -115,8 +115,14 @@ def _fill(line: Column, value_of: Callable[[Column], Column]) -> Column:
     return F.array_join(F.zip_with(F.split(line, _REFERENCE), names, piece), "")
 
 
-def known_attributes(entries: Column) -> Column:
-    """``struct<by_name, open, values, simple>`` for looking up references.
+#: Entries up to which replacing one after the other is faster than looking
+#: references up; the texts are the same either way.
+FEW_ATTRIBUTES = 64
+
+
+def known_attributes(entries: Column, few: int = FEW_ATTRIBUTES) -> Column:
+    """``struct<by_name, open, values, simple>`` for looking up references,
+    null for no more than ``few`` entries.
 
     ``by_name`` are the entries sorted by name with their ``place``.  ``open``
     are the places of values that hold references; ``values``, last one first,
@@ -158,7 +164,8 @@ def known_attributes(entries: Column) -> Column:
             ),
         )
 
-    return bind(by_name, lambda names: bind(with_references, lambda holders: resolved(names, holders)))
+    known = bind(by_name, lambda names: bind(with_references, lambda holders: resolved(names, holders)))
+    return F.when(F.size(entries) > few, known)
 
 
 def _value(name: Column, by_name: Column, spots: Column, values: Column, after: Column) -> Column:
@@ -186,14 +193,14 @@ def substitute_line(line: Column, entries: Column, known: Column) -> Column:
     return F.when(F.contains(line, F.lit("{")), filled).otherwise(line)
 
 
-def substitute_attributes(text: Column, entries: Column) -> Column:
+def substitute_attributes(text: Column, entries: Column, few: int = FEW_ATTRIBUTES) -> Column:
     """The same for a text.  Neither names nor values hold a line feed, so
     lines are independent of each other."""
 
     def lines(given: Column, known: Column) -> Column:
         return map_lines(text, lambda line: substitute_line(line, given, known))
 
-    return bind(entries, lambda given: bind(known_attributes(given), lambda known: lines(given, known)))
+    return bind(entries, lambda given: bind(known_attributes(given, few), lambda known: lines(given, known)))
 
 
 # --- directives ------------------------------------------------------------

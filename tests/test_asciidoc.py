@@ -56,8 +56,9 @@ def test_references_are_filled_as_if_in_turn(spark):
             expected = expected.replace("{" + name + "}", new)
         rows.append((known, "\n".join(lines), expected))
     docs = spark.createDataFrame(rows, "known array<struct<name:string,value:string>>, text string, expected string")
-    got = a.substitute_attributes(F.col("text"), F.col("known"))
-    assert docs.where(~got.eqNullSafe(F.col("expected"))).collect() == []
+    for few in (0, 4, a.FEW_ATTRIBUTES):
+        got = a.substitute_attributes(F.col("text"), F.col("known"), few)
+        assert docs.where(~got.eqNullSafe(F.col("expected"))).collect() == []
 
 
 def test_newest_values_in_first_places(spark):
