@@ -28,6 +28,9 @@ from docloom.operators.qa import strip_traces
 from docloom.session import child_names, path_exists
 
 _RUN_PREFIX = "run="
+#: A run's tables hold every fact several times, far apart: zstd finds more of it
+#: than the default codec and writes a third less.
+_CODEC = "zstd"
 
 
 @dataclass(frozen=True)
@@ -101,7 +104,8 @@ def stage_chunks(run: GenerationRun, chunks: DataFrame, batch_size: int = fv.BAT
     spark = chunks.sparkSession
     if path_exists(spark, run.staged):
         chunks = pending_chunks(chunks, spark.read.schema(chunks.schema).parquet(run.staged))
-    chunks.write.mode("append").option("maxRecordsPerFile", batch_size).parquet(run.staged)
+    writer = chunks.write.mode("append").option("maxRecordsPerFile", batch_size)
+    writer.option("compression", _CODEC).parquet(run.staged)
 
 
 def process_staged(
@@ -133,7 +137,7 @@ def process_staged(
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         rows = made_by.generate(batch, concurrency, timeout)
-        rows.write.mode("overwrite").parquet(f"{run.qa}/batch_id={batch_id}")
+        rows.write.mode("overwrite").option("compression", _CODEC).parquet(f"{run.qa}/batch_id={batch_id}")
         batch.select("chunk_id").write.mode("overwrite").parquet(f"{run.ledger}/batch_id={batch_id}")
 
     query = (

@@ -1,4 +1,7 @@
+from pathlib import Path
+
 import pandas as pd
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import types as T
 
@@ -203,3 +206,17 @@ def test_input_without_chunks(spark, tmp_path):
     assert made.columns == g.SentenceGenerator.schema.names
     run = s.open_run(spark, str(tmp_path), resume=True)
     assert tuple(s.run_progress(run, spark).first()) == (0, None, 0, 0)
+
+
+def test_tables_of_a_run_are_packed_tightly(spark, tmp_path):
+    """Rows repeat their facts; the run writes them with a codec that finds that."""
+    chunks = [(f"c{i}", f"One fact of {i}. Another fact of {i}.", "", "General") for i in range(20)]
+    frame = spark.createDataFrame(chunks, "chunk_id string, document string, document_outline string, domain string")
+    run = s.open_run(spark, str(tmp_path))
+    s.stage_chunks(run, frame)
+    s.process_staged(run, spark, files_per_batch=8)
+    for folder in (run.staged, run.qa):
+        files = [path for path in Path(folder).rglob("*.parquet") if pq.read_metadata(path).num_row_groups]
+        assert files
+        assert {pq.read_metadata(path).row_group(0).column(0).compression for path in files} == {"ZSTD"}
+    assert s.read_generated(run, spark).count() == 80
