@@ -166,10 +166,13 @@ def shingle_sets(found: Words, size: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
-def batch_words(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, int, np.ndarray, Words]]:
-    """``(first row, last row, bytes, words)`` of pieces of a batch."""
+def batch_words(
+    batch: pa.RecordBatch, column: str = "text", limit: int = BATCH_BYTES
+) -> Iterator[tuple[int, int, np.ndarray, Words]]:
+    """``(first row, last row, bytes, words)`` of pieces of a batch, of about
+    ``limit`` bytes."""
     data, offsets = utf8(batch.column(batch.schema.get_field_index(column)))
-    for first, last in slices(offsets):
+    for first, last in slices(offsets, limit):
         begin, end = offsets[first], offsets[last]
         piece = data[begin:end]
         yield first, last, piece, words(piece, offsets[first : last + 1] - begin)

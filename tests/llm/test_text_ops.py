@@ -4,9 +4,11 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from itertools import product
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -481,3 +483,36 @@ def test_quality_odd_rows(spark, odd_docs, no_docs):
     kept = keep_good(odd_docs, labels)
     assert kept.columns == odd_docs.columns and kept.count() == sum(r["score"] >= CUT for r in got)
     assert quality_scores(no_docs, labels).count() == 0
+
+
+def _blank_field():
+    return pii.Field({}, np.zeros((1, len(pii.LABELS))), np.zeros((len(pii.LABELS), len(pii.LABELS))))
+
+
+def _plain_batch(megabytes):
+    """Texts of letters, with one address each."""
+    text = re.sub("[0-9]", "", prose(1, 900))
+    texts = [None, *[f"{text} a.b@example.org or {'y' * (i % 9)}" for i in range((megabytes << 20) // len(text))]]
+    return pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+
+
+def test_masking_works_in_pieces():
+    field, batch = _blank_field(), _plain_batch(3)
+    shared = SimpleNamespace(value=(field.index, field.emission, field.transition))
+    pieces = list(pii._replaced(shared)(iter([batch, batch.slice(0, 0)])))
+    assert len(pieces) > 4 and max(piece.nbytes for piece in pieces) < 2 * pii.PIECE
+    got = pa.Table.from_batches(pieces).to_pylist()
+    assert got == [
+        {"doc_id": row["doc_id"], "text": row["text"] and row["text"].replace("a.b@example.org", "[EMAIL]")} for row in batch.to_pylist()
+    ]
+
+
+def test_spans_need_memory_for_a_piece():
+    """The counts over a text's bytes are held for a piece of a batch only."""
+    field, batch = _blank_field(), _plain_batch(3)
+    tracemalloc.start()
+    try:
+        pii.find_spans(batch, field)
+        assert tracemalloc.get_traced_memory()[1] < 40 << 20
+    finally:
+        tracemalloc.stop()
