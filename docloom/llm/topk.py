@@ -48,7 +48,7 @@ RESOLVED = 1 / 64
 RETRY = 16
 #: Bytes of numbers in a row of packed vectors, vectors (or queries, if there
 #: are more) for a cell, cells that smaller tables have as well if each gets
-#: some blocks, and bytes of queries that a cell may hold.
+#: some blocks, and bytes of queries that a cell may hold on average.
 ROW_BYTES = 2048
 SHARE = 1 << 17
 FEW = 24
